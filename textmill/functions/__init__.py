@@ -1,6 +1,6 @@
 from textmill.functions.keywords import (
-    OTHER, contains_any, contains_keyword, count_keywords, fold_case, has_keyword, hide_keywords,
-    hide_label_names, keyword_labels, keyword_pattern,
+    OTHER, contains_any, contains_keyword, count_keywords, fold_case, found_labels, has_keyword, hide_keywords,
+    hide_label_names, keyword_pattern, label_list,
 )
 from textmill.functions.text import (
     alpha_tokens, join_tokens, lemma_candidates, lowercase, normal_tokens, parse_annotations,

@@ -15,7 +15,7 @@ OTHER = "Other"
 MARK = chr(1)
 # The dotted capital I, dotless i, long s and Kelvin sign, which a case-blind
 # match treats as i, i, s and k.
-FOLDED, FOLDS_TO = "".join(map(chr, [0x130, 0x131, 0x17F, 0x212A])), "iisk"
+FOLDS = [(chr(0x130), "i"), (chr(0x131), "i"), (chr(0x17F), "s"), (chr(0x212A), "k")]
 
 
 def keyword_pattern(keyword: str) -> str:
@@ -43,7 +43,8 @@ def pattern_column(keyword: Column | str) -> Column:
 
 def fold_case(text: Column | str) -> Column:
     """Lower case, with the non-ASCII letters that equal an ASCII one when case is ignored."""
-    return F.lower(F.translate(_col(text), FOLDED, FOLDS_TO))
+    plain = reduce(lambda c, f: F.replace(c, F.lit(f[0]), F.lit(f[1])), FOLDS, _col(text))
+    return F.lower(plain)
 
 
 def contains_keyword(text: Column | str, keyword: str) -> Column:
@@ -68,15 +69,17 @@ def has_keyword(text: Column | str, keyword: str, folded: Column | None = None)
     return hay.contains(keyword.lower()) & whole
 
 
-def keyword_labels(
-    text: Column | str, pairs: list[tuple[str, str]], other: str = OTHER, folded: Column | None = None
-) -> Column:
-    """Labels of all keywords found, in map order and with repeats; `[other]` if none."""
+def found_labels(text: Column | str, pairs: list[tuple[str, str]], folded: Column | None = None) -> Column:
+    """Labels of all keywords found, in map order and with repeats, joined by `MARK`."""
     if any(MARK in label for _, label in pairs):
         raise ValueError("labels must not contain U+0001")
-    # concat_ws skips the NULLs of keywords that are absent.
-    found = F.concat_ws(MARK, *[F.when(has_keyword(text, k, folded), F.lit(v)) for k, v in pairs])
-    return F.when(found == "", F.array(F.lit(other))).otherwise(F.split(found, MARK))
+    # concat_ws skips the NULLs of keywords that are absent, and stays in generated code.
+    return F.concat_ws(MARK, *[F.when(has_keyword(text, k, folded), F.lit(v)) for k, v in pairs])
+
+
+def label_list(found: Column | str, other: str = OTHER) -> Column:
+    """`found_labels` as an array; `[other]` if none."""
+    return F.when(_col(found) == "", F.array(F.lit(other))).otherwise(F.split(_col(found), MARK))
 
 
 def hide_keywords(text: Column | str, keywords: list[str]) -> Column:

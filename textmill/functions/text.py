@@ -19,7 +19,7 @@ SPACE = f"[{SPACE_CHARS}]"
 WORD_CHARS = r"\p{L}\p{N}_"
 QUOTES = "«»“”‘’„"
 # Words the word tokenizer breaks in two (can|not, gon|na, ...).
-SPLIT_WORDS = r"(?U)\b(can(?=not\b)|gon(?=na\b)|got(?=ta\b)|gim(?=me\b)|lem(?=me\b)|wan(?=na\b))"
+SPLIT_WORDS = r"(?U)(?=[cglw])\b(can(?=not\b)|gon(?=na\b)|got(?=ta\b)|gim(?=me\b)|lem(?=me\b)|wan(?=na\b))"
 # Suffix rules for English nouns, (ending, replacement).
 NOUN_ENDINGS = [
     ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
@@ -45,9 +45,12 @@ def strip_punctuation(text: Column | str) -> Column:
     return F.translate(_col(text), string.punctuation, "")
 
 
-def _pieces(text: Column | str) -> Column:
-    spaced = F.translate(_col(text), QUOTES, " " * len(QUOTES))
-    return F.split(F.regexp_replace(spaced, SPLIT_WORDS, "$1 "), SPACE + "+")
+def _pieces(text: Column | str, delete: str = "") -> Column:
+    # One translation serves white space, quotes and the characters to delete; a split at
+    # a plain space is cheaper than one at a character class and leaves only empty pieces.
+    blank = SPACE_CHARS + QUOTES
+    spaced = F.translate(_col(text), blank + delete, " " * len(blank))
+    return F.split(F.regexp_replace(spaced, SPLIT_WORDS, "$1 "), " ")
 
 
 def word_tokens(text: Column | str) -> Column:
@@ -81,7 +84,7 @@ def normal_tokens(text: Column | str, words: list[str] | None = None) -> Column:
     stop = stop_words() if words is None else words
     # One pass over the array; the cheap set lookup runs before the regex.
     return F.filter(
-        _pieces(strip_punctuation(lowercase(text))),
+        _pieces(lowercase(text), delete=string.punctuation),
         lambda t: ~t.isin(stop) & t.rlike(r"^\p{L}+$"),
     )
 
@@ -98,7 +101,8 @@ def lemma_candidates(term: Column | str) -> Column:
 
 def terms_whitespace(text: Column | str) -> Column:
     """White-space separated terms."""
-    return F.filter(F.split(_col(text), SPACE + "+"), lambda t: t != "")
+    spaced = F.translate(_col(text), SPACE_CHARS, " " * len(SPACE_CHARS))
+    return F.filter(F.split(spaced, " "), lambda t: t != "")
 
 
 def terms_word2(text: Column | str) -> Column:
@@ -106,21 +110,25 @@ def terms_word2(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(text)), F.lit(f"([{WORD_CHARS}]{{2,}})"), F.lit(1))
 
 
+def bind(value: Column, make) -> Column:
+    """`make(value)` with `value` evaluated once, however often `make` uses it."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def term_counts(terms: Column | str) -> Column:
     """Array of (term, n) of one row, without a shuffle: sort the terms, then measure runs."""
-    ordered = F.sort_array(_col(terms))
-    last = F.size(ordered)
-    starts = F.filter(
-        F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
-    )
-    return F.transform(
-        starts,
-        lambda s, i: F.struct(
+    def run_starts(ordered: Column) -> Column:
+        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1)).otherwise(
+            F.array().cast("array<int>"))
+        return F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+
+    def runs(ordered: Column, starts: Column) -> Column:
+        return F.transform(starts, lambda s, i: F.struct(
             F.get(ordered, s).alias("term"),
-            (F.coalesce(F.get(starts, i + 1), last) - s).cast("long").alias("n"),
-        ),
-    )
+            (F.coalesce(F.get(starts, i + 1), F.size(ordered)) - s).cast("long").alias("n")))
+
+    return bind(F.sort_array(_col(terms)),
+                lambda ordered: bind(run_starts(ordered), lambda starts: runs(ordered, starts)))
 
 
 def trim_space(text: Column | str) -> Column:

@@ -120,6 +120,16 @@ def drop_empty_norm(df: DataFrame) -> DataFrame:
     return df.filter(F.size("tokens") > 0)
 
 
+def normalize_nonempty(df: DataFrame, text: str = "sentence", stop: list[str] | None = None) -> DataFrame:
+    """`normalize_text` and `drop_empty_norm` in one step.
+
+    A filter on `tokens` would be pushed below the projection and normalise every row
+    twice; exploding an array of one token list, or none, does the work once.
+    """
+    lists = F.filter(F.array(X.normal_tokens(text, stop)), lambda t: F.size(t) > 0)
+    return df.select(*df.columns, F.explode(lists).alias("tokens")).withColumn("norm", X.join_tokens("tokens"))
+
+
 def corpus_lexicon(df: DataFrame, min_df: int = 2, tokens: str = "tokens") -> DataFrame:
     """Terms that occur in at least `min_df` rows: the default lexicon for lemmas."""
     each = df.select(F.explode(F.array_distinct(tokens)).alias("term"))
@@ -203,9 +213,10 @@ def assign_labels(
         kwmap = normalize_keywords(df.sparkSession, kwmap)
     pairs = keyword_pairs(kwmap)
     if pairs is not None:
-        folded = df.withColumn("_folded", K.fold_case(text))
-        labels = K.keyword_labels(text, pairs, other, F.col("_folded"))
-        return folded.withColumn("labels", labels).drop("_folded")
+        # Columns that are used more than once get a projection of their own.
+        found = df.withColumn("_folded", K.fold_case(text)).withColumn(
+            "_found", K.found_labels(text, pairs, F.col("_folded")))
+        return found.withColumn("labels", K.label_list("_found", other)).drop("_folded", "_found")
     ordered = F.array_sort(F.collect_list(F.struct("pos", "label")))
     found = match_keywords(df, kwmap, text, key).groupBy(*key).agg(
         F.transform(ordered, lambda e: e["label"]).alias("labels"))

@@ -6,6 +6,7 @@ import json
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.clustering import LDA
@@ -23,6 +24,10 @@ from textmill.schemas import BIASES, LOSSES, WEIGHTS
 LITERAL_WEIGHTS = 2_000_000
 # Cells of the work arrays of one training block: rows per block shrink with the label count.
 BLOCK_CELLS = 2_000_000
+# Fewest rows worth a training task of their own, and most tasks whose gradients go straight
+# to the driver.
+TASK_ROWS = 20_000
+FLAT_TASKS = 32
 
 
 # --- one-vs-rest logistic regression by gradient ascent -----------------------------
@@ -144,19 +149,19 @@ def train_ovr_gd(
         import pickle
         return pickle.loads(record[0])
 
-    from pyspark import StorageLevel
-    blocks = rows.mapInArrow(_to_blocks(k), "block binary").rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
-    n = blocks.map(lambda b: len(b[0])).sum()
+    n = train.count()
     if n == 0:
-        blocks.unpersist()
         raise ValueError("no training rows")
+    tasks = min(rows.rdd.getNumPartitions(), -(-n // TASK_ROWS))
+    blocks = rows.coalesce(tasks).mapInArrow(_to_blocks(k), "block binary").rdd.map(unpack)
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     weights, bias, losses = np.zeros((size, k)), np.zeros(k), []
     rate = lr if scale == "sum" else lr / n
     try:
         for epoch in range(1, epochs + 1):
             sent = spark.sparkContext.broadcast((weights, bias))
             grad, grad_bias, loss = blocks.mapPartitions(_gradient(sent, k, size)).treeReduce(
-                lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] + b[2]))
+                lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] + b[2]), depth=1 if tasks <= FLAT_TASKS else 2)
             sent.unpersist()
             weights, bias = weights + rate * grad, bias + rate * grad_bias
             if epoch % 100 == 0 or epoch == epochs:

@@ -25,7 +25,7 @@ def extract_corpus(docs: DataFrame, kwmap: KeywordMap | list[str]) -> DataFrame:
 def preprocess_corpus(sentences: DataFrame, lexicon: DataFrame | None = None,
                       stop: list[str] | None = None) -> DataFrame:
     """Add `tokens` and `norm`; with a lexicon, lemmatise. Empty rows are dropped."""
-    out = C.drop_empty_norm(C.normalize_text(sentences, stop=stop))
+    out = C.normalize_nonempty(sentences, stop=stop)
     return out if lexicon is None else C.lemmatize(out, lexicon)
 
 
