@@ -29,14 +29,16 @@ def rows_of(table) -> tuple[list[str], list[tuple]]:
 
 
 def compare(spark, con, sf_dir: str, name: str, sql: str) -> tuple[bool, str]:
+    start = time.time()
     got_names, got = rows_of(QUERIES[name](spark, sf_dir).toArrow())
-    want_names, want = rows_of(con.execute(sql).to_arrow_table())
+    mine = time.time() - start
+    want_names, want = rows_of(con.sql(sql).to_arrow_table())
     if got_names != want_names:
         return False, f"columns {got_names} / {want_names}"
     if got != want:
         odd = sorted(set(map(repr, got)) ^ set(map(repr, want)))[:6]
         return False, f"rows {len(got)} / {len(want)}: {[o[:200] for o in odd]}"
-    return True, f"{len(got)} rows"
+    return True, f"{len(got)} rows, Spark {mine:.1f}s"
 
 
 def main() -> None:

@@ -121,7 +121,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "counts": (["tok", "vidf"], f"""SELECT {KEY}, idx, idf, n_terms, count(*) AS n
         FROM tok JOIN vidf USING (term) GROUP BY {KEY}, idx, idf, n_terms"""),
     "weights": (["counts"], f"SELECT {KEY}, idx, n / n_terms * idf AS weight FROM counts"),
-    "kwvoc": (["vocab"], "SELECT idx AS pos, term AS keyword, upper(term[1]) AS label FROM vocab"),
+    "kwvoc": (["vocab"], "SELECT idx AS pos, term AS keyword, term[1] AS label FROM vocab"),
     "hits": (["kw"], """SELECT keyword, row_number() OVER (PARTITION BY keyword ORDER BY doc_id) AS rank, doc_id
         FROM documents JOIN kw ON contains(lower(text), keyword)"""),
     "doclab": (["hits"], """SELECT doc_id, list(label ORDER BY pos) AS labels FROM (
@@ -222,23 +222,25 @@ def sql(body: str, needs: list[str], extra: dict | None = None) -> str:
     return f"WITH {head}\n{body}" if order else body
 
 
-def metrics(pred: str, where: str = "") -> dict[str, tuple[list[str], str]]:
+def metrics(pred: str, where: str = "", tag: str = "") -> dict[str, tuple[list[str], str]]:
+    """Confusion cells, class names, per-label figures and report of a table; `tag` sets the names apart."""
+    cells, names, per, scored = f"cells{tag}", f"names{tag}", f"per{tag}", f"scored{tag}"
     return {
-        "cells": ([pred], f"SELECT label, prediction, count(*) AS n FROM {pred} {where} GROUP BY label, prediction"),
-        "names": (["cells"], "SELECT label FROM cells UNION SELECT prediction FROM cells"),
-        "per": (["names"], """SELECT label, CASE WHEN pp > 0 THEN tp / pp ELSE 0.0 END AS precision,
+        cells: ([pred], f"SELECT label, prediction, count(*) AS n FROM {pred} {where} GROUP BY label, prediction"),
+        names: ([cells], f"SELECT label AS name FROM {cells} UNION SELECT prediction FROM {cells}"),
+        per: ([names], f"""SELECT name AS label, CASE WHEN pp > 0 THEN tp / pp ELSE 0.0 END AS precision,
             CASE WHEN s > 0 THEN tp / s ELSE 0.0 END AS recall, CAST(s AS BIGINT) AS support FROM (
-            SELECT label, coalesce((SELECT sum(n) FROM cells c WHERE c.label = names.label AND c.prediction = names.label), 0)::DOUBLE AS tp,
-                coalesce((SELECT sum(n) FROM cells c WHERE c.prediction = names.label), 0)::DOUBLE AS pp,
-                coalesce((SELECT sum(n) FROM cells c WHERE c.label = names.label), 0)::DOUBLE AS s FROM names)"""),
-        "full": (["per"], """SELECT label, precision, recall, CASE WHEN precision + recall > 0
-            THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1, support FROM per"""),
-        "rep": (["full"], """SELECT * FROM full
+            SELECT name, coalesce((SELECT sum(n) FROM {cells} WHERE label = name AND prediction = name), 0)::DOUBLE AS tp,
+                coalesce((SELECT sum(n) FROM {cells} WHERE prediction = name), 0)::DOUBLE AS pp,
+                coalesce((SELECT sum(n) FROM {cells} WHERE label = name), 0)::DOUBLE AS s FROM {names})"""),
+        scored: ([per], f"""SELECT label, precision, recall, CASE WHEN precision + recall > 0
+            THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1, support FROM {per}"""),
+        f"rep{tag}": ([scored], f"""SELECT * FROM {scored}
             UNION ALL SELECT 'accuracy', NULL, NULL, sum(CASE WHEN label = prediction THEN n ELSE 0 END)::DOUBLE / sum(n),
-                CAST(sum(n) AS BIGINT) FROM cells
-            UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM full
+                CAST(sum(n) AS BIGINT) FROM {cells}
+            UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM {scored}
             UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-                sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM full"""),
+                sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM {scored}"""),
     }
 
 
@@ -288,8 +290,9 @@ def oracles() -> dict[str, str]:
              for k, v in KEYWORDS.items() if plain.get(k, k)]
     q["assign_labels_normalized_keywords"] = sql(f"""SELECT {KEY}, CASE WHEN len(f) = 0 THEN 'Other'
         ELSE array_to_string(f, '|') END AS labels FROM (SELECT {KEY}, {found(cases)} AS f FROM norm)""", ["norm"])
-    q["whole_word_raw"] = sql(f"""SELECT doc_id, pos, keyword, label FROM documents JOIN kw ON
-        regexp_matches(text, '(?i)(^|[^{WORD}])' || keyword || '([^{WORD}]|$)')""", ["kw"])
+    q["whole_word_raw"] = " UNION ALL ".join(f"""SELECT doc_id, {i} AS pos, {lit(k)} AS keyword, {lit(v)} AS label
+        FROM documents WHERE regexp_matches(text, '(?i)(^|[^{WORD}]){k}([^{WORD}]|$)')"""
+        for i, (k, v) in enumerate(KEYWORDS.items()))
     q["first_label"] = sql(f"SELECT {KEY}, label FROM lab", ["lab"])
     q["flatten_labels"] = sql(f"SELECT {KEY}, array_to_string(labels, ', ') AS labels_text FROM lab", ["lab"])
     q["corpus_counts"] = sql("""SELECT 'documents' AS stage, count(*) AS n FROM documents
@@ -322,10 +325,14 @@ def oracles() -> dict[str, str]:
         LEFT JOIN kwvoc ON term = keyword
         JOIN (SELECT {KEY}, coalesce(labels[1], 'Other') AS own FROM norm LEFT JOIN ({large}) USING ({KEY})) USING ({KEY})
         GROUP BY {KEY}""", ["norm", "tok", "kwvoc"])
-    q["count_removed"] = sql("""SELECT CAST(sum((length(padded) - length(replace(replace(padded, spaced, ''), spaced, '')))
-            // length(spaced)) AS BIGINT) AS removed FROM (
+    # With every space doubled no two matches share one, so a single pass finds them all.
+    q["count_removed"] = sql("""SELECT CAST(sum((length(padded) - length(replace(padded, spaced, ''))) // length(spaced)) AS BIGINT)
+            AS removed FROM (
         SELECT ' ' || replace(norm, ' ', '  ') || ' ' AS padded, ' ' || replace(keyword, ' ', '  ') || ' ' AS spaced
         FROM lab JOIN kw ON lab.label = kw.label)""", ["lab", "kw"])
+    q["count_removed_large_map"] = sql(f"""SELECT CAST(count(*) AS BIGINT) AS removed FROM tok
+        JOIN kwvoc ON term = keyword
+        JOIN (SELECT {KEY}, labels[1] AS own FROM ({large})) USING ({KEY}) WHERE label = own""", ["tok", "kwvoc"])
     q["hide_label_names"] = sql(f"SELECT {KEY}, {names_hidden('sentence')} AS hidden FROM sents", ["sents"])
     q["align_by_index"] = sql(f"SELECT {KEY}, norm, label FROM lab", ["lab"])
     q["align_labels_table"] = "SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id)"
@@ -348,8 +355,7 @@ def oracles() -> dict[str, str]:
     q["sparse_rows"] = sql(f"""SELECT {KEY}, CAST(count(*) AS INTEGER) AS n, max(idx) AS last_idx, round(sum(weight), 6) AS total
         FROM weights GROUP BY {KEY}""", ["weights"])
     # models
-    plain_rows = {"rows": (["lab"], f"SELECT {KEY}, label FROM lab WHERE label <> 'Other'")}
-    q["split_rows"] = sql(split_cte("rows"), ["rows"], plain_rows)
+    q["split_rows"] = sql(split_cte("kept"), ["kept"])
     q["ovr_gd_weights"] = sql("SELECT l AS label, idx, round(w, 6) AS weight FROM w", ["w"], OVR)
     q["ovr_gd_bias"] = sql("SELECT l AS label, round(b, 6) AS bias FROM b", ["b"], OVR)
     q["loss_history"] = sql(f"SELECT label, {EPOCHS} AS epoch, round(loss, 6) AS loss FROM m_loss", ["m_loss"], OVR)
@@ -360,36 +366,28 @@ def oracles() -> dict[str, str]:
     q["loss_by_label"] = sql("""SELECT label, round(-avg(CASE WHEN truth = label THEN ln(score + 1e-15)
         ELSE ln(1 - score + 1e-15) END), 6) AS loss FROM m_score GROUP BY label""", ["m_score"], OVR)
     q["ovr_report"] = sql("""SELECT l AS label, round(coalesce(precision, 0), 6) AS precision, round(coalesce(recall, 0), 6) AS recall,
-        round(coalesce(f1, 0), 6) AS f1, coalesce(support, 0) AS support FROM m_lab LEFT JOIN full ON l = label""",
-        ["m_lab", "full"], {**OVR, **metrics("test")})
+        round(coalesce(f1, 0), 6) AS f1, coalesce(support, 0) AS support FROM m_lab LEFT JOIN scored ON l = label""",
+        ["m_lab", "scored"], {**OVR, **metrics("test")})
     q["majority_baseline"] = sql(f"""SELECT {KEY}, label, (SELECT label FROM lab GROUP BY label
         ORDER BY count(*) DESC, label LIMIT 1) AS prediction FROM lab""", ["lab"])
     # evaluation
     q["accuracy"] = sql("""SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy
         FROM pred""", ["pred"])
-    q["confusion_matrix"] = sql("""SELECT a.label, b.label AS prediction, coalesce(n, 0) AS n FROM names a JOIN names b ON true
-        LEFT JOIN cells c ON c.label = a.label AND c.prediction = b.label""", ["names", "cells"], metrics("pred"))
+    q["confusion_matrix"] = sql("""SELECT a.name AS label, b.name AS prediction, coalesce(n, 0) AS n FROM names a JOIN names b ON true
+        LEFT JOIN cells c ON c.label = a.name AND c.prediction = b.name""", ["names", "cells"], metrics("pred"))
     cols = ", ".join(f'CAST(count(*) FILTER (prediction = {lit(n)}) AS BIGINT) AS "{n}"' for n in names)
     q["confusion_wide"] = sql(f"""SELECT k.label, {cols} FROM (SELECT unnest({array(names)}) AS label) k
         LEFT JOIN pred USING (label) GROUP BY k.label""", ["pred"])
     per = metrics("pred")
-    q["per_label_metrics"] = q["metrics_roundtrip"] = sql(f"SELECT {ROUND3} FROM full", ["full"], per)
-    q["metrics_table"] = sql(f"SELECT {ROUND3.replace('6', '4')} FROM full", ["full"], per)
+    q["per_label_metrics"] = q["metrics_roundtrip"] = sql(f"SELECT {ROUND3} FROM scored", ["scored"], per)
+    q["metrics_table"] = sql(f"SELECT {ROUND3.replace('6', '4')} FROM scored", ["scored"], per)
     q["classification_report"] = q["annotator_comparison"] = sql(f"SELECT {ROUND3} FROM rep", ["rep"], per)
     q["metrics_excluding_other"] = sql(f"SELECT {ROUND3} FROM rep", ["rep"], metrics("pred", "WHERE label <> 'Other'"))
     major = {"major": (["lab"], f"""SELECT label, (SELECT label FROM lab GROUP BY label ORDER BY count(*) DESC, label
         LIMIT 1) AS prediction FROM lab""")}
-    two = {**major, **per}
-    for name, (needs, body) in metrics("major").items():
-        for old in ("cells", "names", "per", "full"):
-            needs = [f"{old}2" if n == old else n for n in needs]
-            body = body.replace(f"FROM {old} ", f"FROM {old}2 ").replace(f"{old}.label", f"{old}2.label")
-            if body.endswith(f"FROM {old}") or body.endswith(f"FROM {old})"):
-                body = body.replace(f"FROM {old}", f"FROM {old}2")
-            body = body.replace(f"FROM {old}\n", f"FROM {old}2\n")
-        two[f"{name}2"] = (needs, body)
+    two = {**major, **per, **metrics("major", tag="_major")}
     q["compare_models"] = sql(f"""SELECT 'substring' AS model, {ROUND3} FROM rep
-        UNION ALL SELECT 'majority' AS model, {ROUND3} FROM rep2""", ["rep", "rep2"], two)
+        UNION ALL SELECT 'majority' AS model, {ROUND3} FROM rep_major""", ["rep", "rep_major"], two)
     ann = {"ann": ([], """SELECT CASE WHEN quality = 1 THEN 'yes' ELSE 'no' END AS label,
         CASE WHEN toxic = 1 THEN 'yes' ELSE 'no' END AS prediction FROM labels""")}
     q["compare_annotators"] = sql(f"SELECT {ROUND3} FROM rep", ["rep"], {**ann, **metrics("ann")})

@@ -112,7 +112,7 @@ def _vocabulary_map(spark, sf) -> DataFrame:
     vocab = V.build_vocabulary(normalized(spark, sf), "tokens", 1000)
     return small_table(vocab.select(
         F.col("idx").cast("int").alias("pos"), F.col("term").alias("keyword"),
-        F.upper(F.substring("term", 1, 1)).alias("label")))
+        F.substring("term", 1, 1).alias("label")))
 
 
 @query
@@ -240,8 +240,8 @@ def hide_own_keywords_large_map(spark, sf):
     """Labels and keywords from the data's own vocabulary: the join form."""
     rows = materialize(normalized(spark, sf).select(*KEY, "tokens", "norm"), "norm")
     kwmap = _vocabulary_map(spark, sf)
-    first = C.first_label(C.assign_labels(rows, kwmap)).select(*KEY, "label", "norm")
-    return C.hide_own_keywords(first, kwmap)
+    first = materialize(C.first_label(C.assign_labels(rows, kwmap)), "first")
+    return C.hide_own_keywords(first, kwmap).select(*KEY, "label", "norm")
 
 
 @query
@@ -249,6 +249,13 @@ def count_removed(spark, sf):
     return C.count_removed(labelled(spark, sf), KEYWORDS)
 
 
+@query
+def count_removed_large_map(spark, sf):
+    rows = materialize(normalized(spark, sf).select(*KEY, "tokens", "norm"), "norm")
+    kwmap = _vocabulary_map(spark, sf)
+    return C.count_removed(materialize(C.first_label(C.assign_labels(rows, kwmap)), "first"), kwmap)
+
+
 @query
 def hide_label_names(spark, sf):
     return sentences(spark, sf).select(*KEY, K.hide_label_names("sentence", LABELS).alias("hidden"))
@@ -352,8 +359,8 @@ def sparse_rows(spark, sf):
 
 @query
 def split_rows(spark, sf):
-    rows = materialize(C.exclude_label(labelled(spark, sf)).select(*KEY, "label"), "labelled")
-    return stratified_split(rows)
+    rows = materialize(labelled(spark, sf).select(*KEY, "label"), "labelled")
+    return stratified_split(C.exclude_label(C.drop_rare_classes(rows)))
 
 
 def _run(spark, sf, epochs: int = 3):

@@ -179,11 +179,12 @@ def match_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: li
     if pairs is None:
         return _match_grams(df, keyword_frame(df.sparkSession, kwmap), key)
     found = [
-        F.when(K.has_keyword(text, k), F.struct(F.lit(pos).alias("pos"), F.lit(k).alias("keyword"),
+        F.when(K.has_keyword(text, k, F.col("_folded")), F.struct(F.lit(pos).alias("pos"), F.lit(k).alias("keyword"),
                                                 F.lit(label).alias("label")))
         for pos, (k, label) in enumerate(pairs)
     ]
-    return df.select(*key, F.explode(F.array_compact(F.array(*found))).alias("_hit")).select(*key, "_hit.*")
+    folded = df.withColumn("_folded", K.fold_case(text))
+    return folded.select(*key, F.explode(F.array_compact(F.array(*found))).alias("_hit")).select(*key, "_hit.*")
 
 
 def _match_grams(df: DataFrame, kwmap: DataFrame, key: list[str]) -> DataFrame:
@@ -191,13 +192,13 @@ def _match_grams(df: DataFrame, kwmap: DataFrame, key: list[str]) -> DataFrame:
     usable = kwmap.withColumn("_gram", K.fold_case("keyword")).filter(
         F.col("keyword").rlike(r"^\p{L}+( \p{L}+)*$"))
     widths = [r[0] for r in usable.select(F.size(F.split("_gram", " "))).distinct().collect()]
-    grams = [
-        F.transform(
-            F.when(F.size("tokens") >= n, F.sequence(F.lit(1), F.size("tokens") - n + 1))
-            .otherwise(F.array().cast("array<int>")),
-            lambda i, n=n: K.fold_case(F.array_join(F.slice("tokens", i, F.lit(n)), " ")))
-        for n in widths
-    ]
+
+    def windows(n: int) -> Column:
+        last = F.size("tokens") - n + 1
+        starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: K.fold_case(F.array_join(F.slice("tokens", i, F.lit(n)), " ")))
+
+    grams = [windows(n) for n in widths]
     if not grams:
         grams = [F.array().cast("array<string>")]
     each = df.select(*key, F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram"))
@@ -273,31 +274,44 @@ def _own_keywords(df: DataFrame, pairs: list[tuple[str, str]], default: Column,
     return default if out is None else out.otherwise(default)
 
 
-def _with_own_patterns(df: DataFrame, kwmap: DataFrame) -> DataFrame:
-    """Join each row's own keyword patterns, for maps too large for the projection."""
-    table = keywords_per_label(kwmap.withColumn("keyword", K.pattern_column("keyword")))
-    return df.join(small_table(table.withColumnRenamed("keywords", "_patterns")), "label", "left").withColumn(
-        "_patterns", F.coalesce("_patterns", F.array().cast("array<string>")))
+def _with_own_patterns(df: DataFrame, kwmap: DataFrame, text: str, key: list[str]) -> DataFrame:
+    """Add `_patterns`, patterns of the row's own keywords in map order, for maps too large
+    for the projection.
+
+    On normalised text only the keywords found in the row are fetched, by the n-gram join.
+    Hiding one leaves its spaces, so it cannot make another one match.
+    """
+    empty = F.array().cast("array<string>")
+    if text == "norm" and "tokens" in df.columns:
+        own = df.select(*key, F.col("label").alias("_own"))
+        found = _match_grams(df, kwmap, key).join(own, key).filter(F.col("label") == F.col("_own"))
+        ordered = F.array_sort(F.collect_list(F.struct("pos", K.pattern_column("keyword").alias("p"))))
+        patterns = found.groupBy(*key).agg(F.transform(ordered, lambda e: e["p"]).alias("_patterns"))
+        joined = df.join(patterns, key, "left")
+    else:
+        table = keywords_per_label(kwmap.withColumn("keyword", K.pattern_column("keyword")))
+        joined = df.join(small_table(table.withColumnRenamed("keywords", "_patterns")), "label", "left")
+    return joined.withColumn("_patterns", F.coalesce("_patterns", empty))
 
 
-def hide_own_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm") -> DataFrame:
+def hide_own_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: list[str] = KEY) -> DataFrame:
     """Remove the keywords of the row's own label, as whole words and in map order."""
     pairs = keyword_pairs(kwmap)
     if pairs is not None:
         return df.withColumn(
             text, _own_keywords(df, pairs, F.col(text), lambda words: K.hide_keywords(text, words)))
-    joined = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap))
+    joined = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap), text, key)
     hidden = F.aggregate("_patterns", F.col(text), lambda t, p: F.regexp_replace(t, p, F.lit("")))
     return joined.withColumn(text, hidden).select(*df.columns)
 
 
-def count_removed(df: DataFrame, kwmap: KeywordMap, text: str = "norm") -> DataFrame:
+def count_removed(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: list[str] = KEY) -> DataFrame:
     """How many keywords `hide_own_keywords` removes in all."""
     pairs = keyword_pairs(kwmap)
     if pairs is not None:
         n = _own_keywords(df, pairs, F.lit(0), lambda words: K.count_keywords(text, words))
     else:
-        df = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap))
+        df = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap), text, key)
         start = F.struct(F.col(text).alias("rest"), F.lit(0).alias("n"))
         n = F.aggregate(
             "_patterns", start,
