@@ -107,24 +107,24 @@ def match_keywords(spark, sf):
     return C.match_keywords(normalized(spark, sf), KEYWORDS)
 
 
-def _vocabulary_map(spark, sf) -> DataFrame:
-    """A keyword map made from the data: the 1000 most frequent terms, labelled by their initial."""
-    vocab = V.build_vocabulary(normalized(spark, sf), "tokens", 1000)
-    return small_table(vocab.select(
+def _with_own_map(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Normalised rows and a keyword map made from them: the 1000 most frequent terms,
+    labelled by their first letter."""
+    rows = materialize(normalized(spark, sf).select(*KEY, "tokens", "norm"), "norm")
+    vocab = V.build_vocabulary(rows, "tokens", 1000)
+    return rows, small_table(vocab.select(
         F.col("idx").cast("int").alias("pos"), F.col("term").alias("keyword"),
         F.substring("term", 1, 1).alias("label")))
 
 
 @query
 def match_keywords_large_map(spark, sf):
-    rows = materialize(normalized(spark, sf).select(*KEY, "tokens", "norm"), "norm")
-    return C.match_keywords(rows, _vocabulary_map(spark, sf))
+    return C.match_keywords(*_with_own_map(spark, sf))
 
 
 @query
 def assign_labels_large_map(spark, sf):
-    rows = materialize(normalized(spark, sf).select(*KEY, "tokens", "norm"), "norm")
-    return joined(C.assign_labels(rows, _vocabulary_map(spark, sf)).select(*KEY, "labels"), "labels")
+    return joined(C.assign_labels(*_with_own_map(spark, sf)).select(*KEY, "labels"), "labels")
 
 
 @query
@@ -187,7 +187,7 @@ def exclude_label(spark, sf):
 
 @query
 def keywords_per_label(spark, sf):
-    return joined(C.keywords_per_label(_vocabulary_map(spark, sf)), "keywords")
+    return joined(C.keywords_per_label(_with_own_map(spark, sf)[1]), "keywords")
 
 
 def _hits(spark, sf) -> DataFrame:
@@ -238,8 +238,7 @@ def hide_own_keywords(spark, sf):
 @query
 def hide_own_keywords_large_map(spark, sf):
     """Labels and keywords from the data's own vocabulary: the join form."""
-    rows = materialize(normalized(spark, sf).select(*KEY, "tokens", "norm"), "norm")
-    kwmap = _vocabulary_map(spark, sf)
+    rows, kwmap = _with_own_map(spark, sf)
     first = materialize(C.first_label(C.assign_labels(rows, kwmap)), "first")
     return C.hide_own_keywords(first, kwmap).select(*KEY, "label", "norm")
 
@@ -251,8 +250,7 @@ def count_removed(spark, sf):
 
 @query
 def count_removed_large_map(spark, sf):
-    rows = materialize(normalized(spark, sf).select(*KEY, "tokens", "norm"), "norm")
-    kwmap = _vocabulary_map(spark, sf)
+    rows, kwmap = _with_own_map(spark, sf)
     return C.count_removed(materialize(C.first_label(C.assign_labels(rows, kwmap)), "first"), kwmap)
 
 
@@ -297,8 +295,8 @@ def vocabulary_all_terms(spark, sf):
 
 
 def _fitted(spark, sf, terms: str = "tokens") -> tuple[DataFrame, DataFrame]:
-    rows = normalized(spark, sf).select(*KEY, "tokens", X.terms_word2("norm").alias("words"))
-    rows = materialize(rows, "terms")
+    words = F.col("tokens") if terms == "tokens" else X.terms_word2("norm").alias(terms)
+    rows = materialize(normalized(spark, sf).select(*KEY, words), "terms")
     vocab = small_table(V.build_vocabulary(rows, terms, 1000), 1000)
     return rows, V.fit_idf(rows, vocab, terms)
 
@@ -625,7 +623,7 @@ def keyword_map_source(spark, sf):
     path = scratch_path(spark, "map")
     pairs = F.array_sort(F.collect_list(F.struct("pos", "keyword", "label")))
     entries = F.map_from_entries(F.transform(pairs, lambda e: F.struct(e["keyword"], e["label"])))
-    _vocabulary_map(spark, sf).agg(F.to_json(entries).alias("value")).write.text(path)
+    _with_own_map(spark, sf)[1].agg(F.to_json(entries).alias("value")).write.text(path)
     return R.read_keyword_map(spark, path)
 
 

@@ -45,8 +45,8 @@ def build_vocabulary(df: DataFrame, terms: str = "tokens", max_features: int | N
     """
     stats = term_statistics(df, terms)
     if max_features is None:
-        digest = F.md5("term")
-        ranked = rank_within(stats, [], F.substring(digest, 1, 4), [digest, F.col("term")], "_rank")
+        hashed = stats.withColumn("_h", F.md5("term"))
+        ranked = rank_within(hashed, [], F.substring("_h", 1, 4), [F.col("_h"), F.col("term")], "_rank")
         return ranked.select("term", (F.col("_rank") - 1).cast("int").alias("idx"), "tf", "df")
     order = [F.desc("tf"), F.asc("term")]
     top = stats.orderBy(*order).limit(max_features)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators.corpus import KEY
 from textmill.operators.ranking import hash_key
-from textmill.runtime import small_table
+from textmill.runtime import materialize, small_table
 
 
 def test_shares(counts: DataFrame, test_size: float = 0.2) -> DataFrame:
@@ -44,7 +44,7 @@ def stratified_split(
     order = F.struct("_h", *key)
     hashed = df.select(*key, "label", digest.alias("_h"))
     bucket = F.substring("_h", 1, 4)
-    sizes = hashed.groupBy("label", bucket.alias("_b")).agg(F.count("*").alias("_n"))
+    sizes = materialize(hashed.groupBy("label", bucket.alias("_b")).agg(F.count("*").alias("_n")), "sizes")
     totals = sizes.groupBy("label").agg(F.sum("_n").alias("n"))
     upto = W.partitionBy("label").orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
     running = sizes.withColumn("_upto", F.sum("_n").over(upto))

@@ -15,7 +15,8 @@ SMALL_ROWS = 10_000
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session, where driver and executors share one machine, may fall
+    All paths of an application share one subfolder, which may be deleted once the
+    application has ended. Only a local session, where driver and executors share one machine, may fall
     back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -24,7 +25,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="textmill-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/textmill/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/textmill/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
