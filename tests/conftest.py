@@ -10,8 +10,8 @@ from textmill.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = get_session("tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
+    session = get_session("tests", "local[8]", **{
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch"))})
     session.sparkContext.setLogLevel("ERROR")

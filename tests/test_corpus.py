@@ -43,7 +43,7 @@ def test_labels_of_a_document_are_distinct_and_in_map_order(spark):
 
 def test_collect_corpus(spark):
     hits = spark.createDataFrame([("k", r, f"d{r}") for r in range(1, 6)], "keyword string, rank long, doc_id string")
-    docs = spark.createDataFrame([("d1", "one"), ("d1", "one b"), ("d2", None), ("d3", "three"), ("d5", "five")],
+    docs = spark.createDataFrame([("d1", "one b"), ("d1", "one"), ("d2", None), ("d3", "three"), ("d5", "five")],
                                  "doc_id string, text string")
     got = collect_corpus(hits, docs, {"k": "K"}, cap=4, order=["text"]).orderBy("doc_id").collect()
     assert [(r.doc_id, r.text, r.labels) for r in got] == [("d1", "one", ["K"]), ("d3", "three", ["K"])]

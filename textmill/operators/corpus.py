@@ -75,11 +75,11 @@ def labels_per_document(hits: DataFrame, kwmap: KeywordMap) -> DataFrame:
 
 
 def dedupe_documents(df: DataFrame, key: str = "doc_id", order: list[str] | None = None) -> DataFrame:
-    """The first row of each id. Copies are combined before the shuffle, so an id with
-    very many copies costs its tasks no more than any other."""
-    rest = [c for c in df.columns if c != key]
-    by = F.struct(*(order or rest))
-    kept = df.groupBy(key).agg(F.min_by(F.struct(*rest), by).alias("_row"))
+    """The first row of each id by `order`, ties by the other columns. Copies are combined
+    before the shuffle, so an id with very many copies costs no task more than any other."""
+    first = order or []
+    rest = [*first, *[c for c in df.columns if c != key and c not in first]]
+    kept = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
     return kept.select(key, "_row.*").select(*df.columns)
 
 

@@ -28,6 +28,9 @@ BLOCK_CELLS = 2_000_000
 # to the driver.
 TASK_ROWS = 20_000
 FLAT_TASKS = 32
+# Models live on the driver: more classes or topic terms than this are refused, not cut off.
+MAX_LABELS = 10_000
+MAX_TOPIC_TERMS = 2_000_000
 
 
 # --- one-vs-rest logistic regression by gradient ascent -----------------------------
@@ -138,7 +141,9 @@ def train_ovr_gd(
         raise ValueError("scale must be 'sum' or 'mean'")
     spark = train.sparkSession
     if labels is None:
-        labels = [r.label for r in train.select("label").distinct().collect()]
+        labels = [r.label for r in train.select("label").distinct().limit(MAX_LABELS + 1).collect()]
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
     labels = sorted(labels)
     k = len(labels)
     raw = F.unwrap_udt(features)
@@ -277,8 +282,12 @@ def train_topics(
     The driver holds a topic-by-term matrix, as the algorithm needs; pass a bounded
     `vocab` where the corpus has too many terms for that.
     """
-    vocab = build_vocabulary(df, terms, max_features=None) if vocab is None else vocab
-    words = [r.term for r in vocab.select("term", "idx").orderBy("idx").collect()]
+    if vocab is None:
+        vocab = build_vocabulary(df, terms, max_features=None)
+    rows = vocab.select("term", "idx").limit(MAX_TOPIC_TERMS + 1).toArrow().sort_by("idx")
+    if rows.num_rows > MAX_TOPIC_TERMS:
+        raise ValueError(f"more than {MAX_TOPIC_TERMS} terms: pass a bounded vocabulary")
+    words = rows.column("term").to_pylist()
     counts = CountVectorizerModel.from_vocabulary(words, inputCol=terms, outputCol="counts")
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0,
               docConcentration=[1.0 / k], topicConcentration=1.0 / k, featuresCol="counts")

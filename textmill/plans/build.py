@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from textmill.operators import corpus as C
 from textmill.operators.corpus import KeywordMap
+from textmill.runtime import small_table
 
 
 def collect_corpus(hits: DataFrame, articles: DataFrame, kwmap: KeywordMap, cap: int = 250,
                    order: list[str] | None = None) -> DataFrame:
     """(doc_id, text, labels): one row per article found, with the labels of its keywords."""
-    labels = C.labels_per_document(C.cap_per_keyword(hits, cap), kwmap)
-    found = C.drop_missing_text(articles).join(labels.select("doc_id"), "doc_id", "left_semi")
-    return C.attach_doc_labels(C.dedupe_documents(found, "doc_id", order), labels)
+    # Capped hits are few, so the articles are pruned by a broadcast join, not a shuffle.
+    labels = small_table(C.labels_per_document(C.cap_per_keyword(hits, cap), kwmap))
+    found = C.drop_missing_text(articles).join(labels, "doc_id")
+    return C.dedupe_documents(found.select("doc_id", "text", "labels"), "doc_id", order)
 
 
 def extract_corpus(docs: DataFrame, kwmap: KeywordMap | list[str]) -> DataFrame:
