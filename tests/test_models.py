@@ -81,8 +81,9 @@ def test_gradient_ascent_equals_brute_force(spark, monkeypatch, cells):
 
 def test_loss_is_kept_every_hundred_epochs(spark):
     df, size = features(spark, 9)
-    model = M.train_ovr_gd(df, size, epochs=210, scale="mean")
-    assert sorted({e for _, e, _ in model.losses}) == [100, 200, 210]
+    df = df.coalesce(1)
+    model = M.train_ovr_gd(df, size, epochs=101, scale="mean")
+    assert sorted({e for _, e, _ in model.losses}) == [100, 101]
 
 
 def test_scores_agree_in_both_forms_and_bias_alone_scores_empty_rows(spark, monkeypatch):
@@ -103,21 +104,20 @@ def test_scores_agree_in_both_forms_and_bias_alone_scores_empty_rows(spark, monk
 
 def test_saved_models_predict_the_same(spark, tmp_path):
     df, size = features(spark)
-    df = df.cache()
+    df = df.coalesce(1).cache()
     model = M.train_ovr_gd(df, size, epochs=3)
     model.save(spark, str(tmp_path / "ovr"))
     again = M.OvrModel.load(spark, str(tmp_path / "ovr"))
     assert M.predict_ovr(again, df).collect() == M.predict_ovr(model, df).collect()
-    lr = M.train_multinomial(df, max_iter=20)
+    lr = M.train_multinomial(df, max_iter=5)
     M.save_model(lr, str(tmp_path / "lr"))
     assert M.predict(M.load_model(str(tmp_path / "lr")), df).collect() == M.predict(lr, df).collect()
 
 
 def test_library_models_beat_the_majority(spark):
-    df, _ = features(spark)
-    df = df.cache()
+    df = features(spark)[0].coalesce(1).cache()
     floor = df.filter(F.col("label") == M.train_majority(df)).count() / df.count()
-    for model in (M.train_multinomial(df, max_iter=50), M.train_ovr(df, max_iter=20)):
+    for model in (M.train_multinomial(df, max_iter=15), M.train_ovr(df, max_iter=5)):
         right = M.predict(model, df).filter("label = prediction").count() / df.count()
         assert right > max(floor, 0.9)
 
@@ -132,11 +132,11 @@ def test_benchmarks_run_end_to_end(spark):
     rows = [(i, 0, label, f"kw{label.lower()} {words[label]} {i % 3 * 'x'}")
             for i, label in enumerate(["A", "B", "Other"] * 20 + ["Rare"])]
     df = spark.createDataFrame(rows, "doc_id long, sent_idx int, label string, norm string")
-    run = benchmark_ovr(df, {"kwa": "A", "kwb": "B"}, epochs=50)
+    run = benchmark_ovr(df, {"kwa": "A", "kwb": "B"}, epochs=20)
     assert [r.label for r in run.metrics().orderBy("label").collect()] == ["A", "B"]
     assert {"kwa", "kwb"}.isdisjoint(run.features.stages[0].vocabulary)
     assert run.predictions.filter("label <> prediction").count() == 0
-    lib = benchmark_library(df, max_iter=20)
+    lib = benchmark_library(df, max_iter=8)
     report = {(r.model, r.label): r.f1 for r in lib.report().collect()}
     assert report["Logistic Regression", "accuracy"] > report["Majority", "accuracy"]
     assert {r.label for r in lib.report_excluding_other().filter("support > 0").collect()} >= {"A", "B"}

@@ -43,7 +43,7 @@ def test_scoring_skips_the_normaliser_unless_asked(spark):
 def test_library_model_scores_lines(spark):
     features, _ = trained(spark)
     df = spark.createDataFrame([("A", ["gel"]), ("B", ["wash"])] * 3, "label string, terms array<string>")
-    model = M.train_multinomial(V.transform(features, df), max_iter=20)
+    model = M.train_multinomial(V.transform(features, df.coalesce(1)), max_iter=8)
     lines = spark.createDataFrame([("the gel",), ("wash",)], "value string")
     got = score_lines(lines, make_scorer(features, model, [], terms=X.terms_word2)).collect()
     assert [r.prediction for r in got] == ["A", "B"]
