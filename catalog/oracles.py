@@ -258,6 +258,11 @@ def prompt_head() -> str:
 def oracles() -> dict[str, str]:
     names = sorted([*LABELS, "Other"])
     q: dict[str, str] = {}
+    blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    parts = f"list_filter(list_transform(string_split(html, ';'), lambda x: trim(x, {blank})), lambda x: x <> '')"
+    q["split_semicolons"] = f"""SELECT page_id, CAST(unnest(range(len(p))) AS INTEGER) AS idx, unnest(p) AS part
+        FROM (SELECT page_id, {parts} AS p FROM pages)"""
+    q["sigmoid"] = "SELECT event_id, round(1 / (1 + exp(-value / 10)), 6) AS p FROM events"
     q["label_counts"] = sql("SELECT label, count(*) AS n FROM lab GROUP BY label", ["lab"])
     q["drop_missing_text"] = "SELECT conv_id, turn, text FROM conversations WHERE text <> ''"
     q["sentence_split"] = sql(f"SELECT {KEY}, sentence FROM sents", ["sents"])
@@ -269,12 +274,13 @@ def oracles() -> dict[str, str]:
     q["remove_stop_words"] = f"""SELECT doc_id, array_to_string({no_stop(
         f"list_filter(string_split_regex(lower(text), {lit(SPACE + '+')}), lambda t: t <> '')")}, ' ') AS tokens FROM documents"""
     q["normalize_text"] = sql(f"SELECT {KEY}, norm FROM norm", ["norm"])
-    q["lemmatize"] = sql(f"""SELECT {KEY}, string_agg(coalesce(lemma, term), ' ' ORDER BY i) AS norm
-        FROM (SELECT {KEY}, unnest(tokens) AS term, unnest(range(len(tokens))) AS i FROM norm) LEFT JOIN (
-            SELECT term, arg_min(form, (length(form), form)) AS lemma
-            FROM (SELECT term, unnest({LEMMA_FORMS}) AS form FROM (SELECT DISTINCT term FROM tok))
-            WHERE form IN (SELECT term FROM tok GROUP BY term HAVING count(DISTINCT (doc_id, sent_idx)) >= 2)
-            GROUP BY term) USING (term) GROUP BY {KEY}""", ["norm", "tok"])
+    for name, least in (("lemmatize", 2), ("lemmatize_with_lexicon", 3)):
+        q[name] = sql(f"""SELECT {KEY}, string_agg(coalesce(lemma, term), ' ' ORDER BY i) AS norm
+            FROM (SELECT {KEY}, unnest(tokens) AS term, unnest(range(len(tokens))) AS i FROM norm) LEFT JOIN (
+                SELECT term, arg_min(form, (length(form), form)) AS lemma
+                FROM (SELECT term, unnest({LEMMA_FORMS}) AS form FROM (SELECT DISTINCT term FROM tok))
+                WHERE form IN (SELECT term FROM tok GROUP BY term HAVING count(DISTINCT (doc_id, sent_idx)) >= {least})
+                GROUP BY term) USING (term) GROUP BY {KEY}""", ["norm", "tok"])
     q["match_keywords"] = sql(f"""SELECT {KEY}, pos, keyword, label FROM norm JOIN kw
         ON contains(' ' || norm || ' ', ' ' || keyword || ' ')""", ["norm", "kw"])
     q["match_keywords_large_map"] = sql(f"""SELECT DISTINCT {KEY}, pos, keyword, label FROM tok

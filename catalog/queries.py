@@ -22,7 +22,7 @@ from textmill.operators.ranking import rank_within
 from textmill.operators.split import stratified_split
 from textmill.plans.annotator import annotator_report
 from textmill.plans.benchmark import benchmark_library, benchmark_ovr, ovr_rows
-from textmill.plans.build import collect_corpus, extract_corpus, sentences_per_label
+from textmill.plans.build import collect_corpus, extract_corpus, preprocess_corpus, sentences_per_label
 from textmill.plans.topics import topic_report
 from textmill.runtime import materialize, scratch_path, small_table
 from textmill.sources import readers as R
@@ -45,6 +45,20 @@ def joined(df: DataFrame, column: str, sep: str = "|") -> DataFrame:
     return df.withColumn(column, F.array_join(column, sep))
 
 
+# --- column functions on other tables ---------------------------------------------
+
+@query
+def split_semicolons(spark, sf):
+    pages = table(spark, sf, "pages", "page_id", "html")
+    return pages.select("page_id", F.posexplode(X.split_semicolons("html")).alias("idx", "part"))
+
+
+@query
+def sigmoid(spark, sf):
+    events = table(spark, sf, "events", "event_id", "value")
+    return events.select("event_id", F.round(X.sigmoid(F.col("value") / 10), 6).alias("p"))
+
+
 # --- corpus building ----------------------------------------------------------------
 
 @query
@@ -97,9 +111,14 @@ def normalize_text(spark, sf):
 
 @query
 def lemmatize(spark, sf):
+    return preprocess_corpus(sentences(spark, sf).select(*KEY, "sentence"), lemmas=True).select(*KEY, "norm")
+
+
+@query
+def lemmatize_with_lexicon(spark, sf):
+    """The lexicon is given: terms that occur in at least three rows."""
     rows = materialize(normalized(spark, sf).select(*KEY, "tokens"), "tokens")
-    lexicon = C.corpus_lexicon(rows, min_df=2)
-    return C.lemmatize(rows, lexicon).select(*KEY, "norm")
+    return C.lemmatize(rows, C.corpus_lexicon(rows, min_df=3)).select(*KEY, "norm")
 
 
 @query
@@ -193,7 +212,7 @@ def keywords_per_label(spark, sf):
 def _hits(spark, sf) -> DataFrame:
     """Search hits: documents that contain a keyword, ranked by id within the keyword."""
     found = F.array_compact(F.array(*[F.when(K.contains_keyword("text", k), F.lit(k)) for k in KEYWORDS]))
-    pairs = documents(spark, sf).select("doc_id", F.explode(found).alias("keyword"))
+    pairs = materialize(documents(spark, sf).select("doc_id", F.explode(found).alias("keyword")), "hits")
     return rank_within(pairs, ["keyword"], F.floor(F.col("doc_id") / 1024), [F.col("doc_id")], "rank")
 
 
@@ -388,7 +407,8 @@ def ovr_gd_predict(spark, sf):
 
 def _scored(spark, sf) -> DataFrame:
     run = _run(spark, sf)
-    rows = ovr_rows(labelled(spark, sf), KEYWORDS).select(*KEY, "label", "terms")
+    stored = materialize(labelled(spark, sf).select(*KEY, "label", "norm"), "labelled")
+    rows = ovr_rows(stored, KEYWORDS).select(*KEY, "label", "terms")
     ready = materialize(V.transform(run.features, rows).select(*KEY, "label", "features"), "ready")
     scored = M.score_join(V.to_long(ready), run.model.weight_table(spark), run.model.bias_table(spark), ready)
     return scored, ready
@@ -648,8 +668,8 @@ def metrics_roundtrip(spark, sf):
 
 def _scorer(spark, sf):
     """A model over all labelled rows: words of two letters and more, three epochs."""
-    rows = materialize(ovr_rows(labelled(spark, sf), KEYWORDS).select(
-        *KEY, "label", X.terms_word2("norm").alias("terms")), "labelled")
+    stored = materialize(labelled(spark, sf).select(*KEY, "label", "norm"), "labelled")
+    rows = ovr_rows(stored, KEYWORDS).select(*KEY, "label", X.terms_word2("norm").alias("terms"))
     features, _ = V.tfidf_fit(rows, "terms", 1000)
     model = M.train_ovr_gd(V.transform(features, rows), len(features.stages[0].vocabulary), epochs=3)
     return make_scorer(features, model, LABELS)

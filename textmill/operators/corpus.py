@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from textmill.functions import keywords as K
 from textmill.functions import text as X
 from textmill.operators.ranking import rank_within, top_per_group
-from textmill.runtime import small_table
+from textmill.runtime import materialize, small_table
 from textmill.schemas import KEYWORD_MAP
 
 KEY = ["doc_id", "sent_idx"]
@@ -136,25 +136,27 @@ def corpus_lexicon(df: DataFrame, min_df: int = 2, tokens: str = "tokens") -> Da
     return each.groupBy("term").count().filter(F.col("count") >= min_df).select("term")
 
 
+def _may_change(term: Column) -> Column:
+    # Every suffix rule's ending ends in one of these two.
+    return term.endswith("s") | term.endswith("men")
+
+
 def lemma_table(terms: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(term, lemma) for the distinct terms whose shortest form in the lexicon is another word."""
-    forms = terms.select("term").distinct().select("term", F.explode(X.lemma_candidates("term")).alias("form"))
-    known = forms.join(lexicon.select(F.col("term").alias("form")).distinct(), "form", "left_semi")
+    """(term, lemma) for the distinct `terms` whose shortest form in the lexicon is another word."""
+    forms = terms.filter(_may_change(F.col("term"))).select(
+        "term", F.explode(X.lemma_candidates("term")).alias("form"))
+    known = forms.join(lexicon.select(F.col("term").alias("form")), "form", "left_semi")
     best = known.groupBy("term").agg(F.min(F.struct(F.length("form"), "form"))["form"].alias("lemma"))
     return best.filter(F.col("lemma") != F.col("term"))
 
 
-def lemmatize(df: DataFrame, lexicon: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Replace tokens by their noun lemma and rebuild `norm`.
+def apply_lemmas(df: DataFrame, lemmas: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Replace tokens by their lemma and rebuild `norm`.
 
-    Only tokens with an ending that a suffix rule knows leave their row. Their lemmas are
-    found once per distinct term; the changed positions then return to the row as one
-    small map per key.
+    Only tokens that some suffix rule may change leave their row; the changed positions
+    return to it as one small map per key.
     """
-    endings = "|".join(sorted({end for end, _ in X.NOUN_ENDINGS if end in ("s", "men")}))
-    open_tokens = df.select(*key, F.posexplode("tokens").alias("at", "term")).filter(
-        F.col("term").rlike(f"({endings})$"))
-    lemmas = lemma_table(open_tokens, lexicon)
+    open_tokens = df.select(*key, F.posexplode("tokens").alias("at", "term")).filter(_may_change(F.col("term")))
     patches = (
         open_tokens.join(lemmas, "term").groupBy(*key)
         .agg(F.map_from_entries(F.collect_list(F.struct("at", "lemma"))).alias("_patch"))
@@ -167,6 +169,21 @@ def lemmatize(df: DataFrame, lexicon: DataFrame, key: list[str] = KEY) -> DataFr
     )
 
 
+def lemmatize(df: DataFrame, lexicon: DataFrame | None = None, key: list[str] = KEY) -> DataFrame:
+    """Replace tokens by their noun lemma; lemmas are found once per distinct term.
+
+    Without a lexicon, the terms found in at least two rows serve. `df` is read more than
+    once: pass a stored table, not a long plan.
+    """
+    each = df.select(F.explode(F.array_distinct("tokens")).alias("term"))
+    if lexicon is None:
+        stats = materialize(each.groupBy("term").agg(F.count("*").alias("df")), "terms")
+        terms, lexicon = stats, stats.filter(F.col("df") >= 2)
+    else:
+        terms = each.filter(_may_change(F.col("term"))).distinct()
+    return apply_lemmas(df, small_table(lemma_table(terms, lexicon)), key)
+
+
 # --- labels -------------------------------------------------------------------------
 
 def match_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: list[str] = KEY) -> DataFrame:

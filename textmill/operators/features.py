@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from textmill.functions.text import term_counts
 from textmill.operators.corpus import KEY
 from textmill.operators.ranking import rank_within
-from textmill.runtime import SMALL_ROWS, small_table
+from textmill.runtime import SMALL_ROWS, materialize, small_table
 
 
 def term_frequency(df: DataFrame, terms: str = "tokens") -> DataFrame:
@@ -45,7 +45,8 @@ def build_vocabulary(df: DataFrame, terms: str = "tokens", max_features: int | N
     """
     stats = term_statistics(df, terms)
     if max_features is None:
-        hashed = stats.withColumn("_h", F.md5("term"))
+        # Ranking reads the statistics twice; stored, they cost the corpus one pass only.
+        hashed = materialize(stats.withColumn("_h", F.md5("term")), "terms")
         ranked = rank_within(hashed, [], F.substring("_h", 1, 4), [F.col("_h"), F.col("term")], "_rank")
         return ranked.select("term", (F.col("_rank") - 1).cast("int").alias("idx"), "tf", "df")
     order = [F.desc("tf"), F.asc("term")]
@@ -138,8 +139,7 @@ def transform(model: PipelineModel, df: DataFrame, out: str = "features") -> Dat
 def entries(df: DataFrame, features: str = "features") -> DataFrame:
     """Add `entries`, the non-zero cells of a sparse vector as array of (idx, weight)."""
     raw = F.unwrap_udt(features)
-    cells = F.arrays_zip(raw["indices"].alias("idx"), raw["values"].alias("weight"))
-    return df.withColumn("entries", cells.cast("array<struct<idx:int,weight:double>>"))
+    return df.withColumn("entries", F.arrays_zip(raw["indices"].alias("idx"), raw["values"].alias("weight")))
 
 
 def to_long(df: DataFrame, features: str = "features", key: list[str] = KEY) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from textmill.operators import corpus as C
 from textmill.operators import evaluate as E
 from textmill.operators.annotate import parse_replies
-from textmill.operators.corpus import KeywordMap
 from textmill.operators.ranking import rank_within
 
 
@@ -27,8 +26,3 @@ def annotator_report(labelled: DataFrame, replies: DataFrame, size: int = 10, gr
         group, "batch", "line", F.col("label").alias("prediction"))
     paired = truth.join(given, [group, "batch", "line"], "left")
     return E.classification_report(paired.select("label", F.coalesce("prediction", F.lit("Other")).alias("prediction")))
-
-
-def keyword_labels_of(norm: DataFrame, kwmap: KeywordMap) -> DataFrame:
-    """Keyword labels beside the annotator's, for prompts built from the same rows."""
-    return C.assign_labels(norm, kwmap)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators import corpus as C
 from textmill.operators.corpus import KeywordMap
-from textmill.runtime import small_table
+from textmill.runtime import materialize, small_table
 
 
 def collect_corpus(hits: DataFrame, articles: DataFrame, kwmap: KeywordMap, cap: int = 250,
@@ -24,11 +24,14 @@ def extract_corpus(docs: DataFrame, kwmap: KeywordMap | list[str]) -> DataFrame:
     return C.mentions_any(C.sentences(C.drop_missing_text(docs)), kwmap)
 
 
-def preprocess_corpus(sentences: DataFrame, lexicon: DataFrame | None = None,
-                      stop: list[str] | None = None) -> DataFrame:
-    """Add `tokens` and `norm`; with a lexicon, lemmatise. Empty rows are dropped."""
+def preprocess_corpus(sentences: DataFrame, lexicon: DataFrame | None = None, stop: list[str] | None = None,
+                      lemmas: bool = False) -> DataFrame:
+    """Add `tokens` and `norm`; empty rows are dropped. With `lemmas` or a lexicon the tokens
+    are stored and then lemmatised."""
     out = C.normalize_nonempty(sentences, stop=stop)
-    return out if lexicon is None else C.lemmatize(out, lexicon)
+    if lexicon is None and not lemmas:
+        return out
+    return C.lemmatize(materialize(out, "tokens"), lexicon)
 
 
 def label_corpus(norm: DataFrame, kwmap: KeywordMap, normalized_keywords: bool = False) -> DataFrame:
