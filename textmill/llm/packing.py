@@ -192,6 +192,7 @@ def pack(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
         first += times
     tables = {size: np.array(p, np.int64).T for size, p in places.items()}
     sent = spark.sparkContext.broadcast(tables)
+    names = pieces.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -205,11 +206,11 @@ def pack(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
                 k = number[rows] - begin[p]
                 seq[rows] = bins[p] + k // copies[p]
                 offset[rows] = at[p] + k % copies[p] * s
-            yield {**{c: batch.column(c) for c in pieces.columns}, "sequence_id": seq, "offset": offset}
+            yield {**{c: batch.column(c) for c in names}, "sequence_id": seq, "offset": offset}
 
     schema = T.StructType(list(pieces.schema) + [T.StructField("sequence_id", T.LongType()),
                                                  T.StructField("offset", T.LongType())])
-    order = [c for c in pieces.columns if c != "length"]
+    order = [c for c in names if c != "length"]
     return in_batches(numbered(pieces, "length", order, order, "_number"), work, schema)
 
 
