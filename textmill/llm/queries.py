@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import packing, quality
+from textmill.llm import packing, quality, sharding
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(read(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_sharding": op6_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
