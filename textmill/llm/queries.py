@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textmill.llm import packing, quality, sharding
+from textmill.llm import linededup, packing, quality, sharding
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
@@ -26,6 +32,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,

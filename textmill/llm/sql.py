@@ -29,6 +29,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, a OR
 FROM f
 """
 
+LINE_DEDUP = r"""
+WITH l AS (SELECT rid, doc_id, i, x[i] AS line,
+                  translate(regexp_replace(x[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+           FROM (SELECT rid, doc_id, x, unnest(range(1, len(x) + 1)) AS i
+                 FROM (SELECT row_number() OVER () AS rid, doc_id,
+                              string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
+many AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT rid) >= 10),
+f AS (SELECT *, key IN (SELECT key FROM many) AS gone FROM l)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM f GROUP BY rid, doc_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP,
     "op4_quality_rules": QUALITY,
 }
