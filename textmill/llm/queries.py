@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import linededup, packing, quality, sharding
+from textmill.llm import linededup, packing, quality, sharding, tokencounts
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Texts of more tokens are over the limit.
+MAX_TOKENS = 512
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(read(spark, sf_dir, "documents")).select(
@@ -27,6 +30,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokencounts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,5 +43,6 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
+    "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
