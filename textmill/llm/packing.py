@@ -18,9 +18,11 @@ by one. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from textmill.runtime import materialize
 LIMIT = 2048
 END_ID = 0
 # Entries of a worker's table of encoded words; it is started anew when full.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_500_000
 # Words of plain letters with plain signs behind them. Case and signs are taken off such a word before it is
 # encoded, since the tokenizer lower-cases and never merges letters with signs.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%|]*)")
@@ -43,16 +45,22 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%|]*)")
 class WordIds:
     """Ids of white-space separated words as little-endian bytes.
 
-    For tokenizers that lower-case and drop white space, so that words can be encoded one by one.
+    For tokenizers that lower-case, drop white space and mark the end of words, so that words can be
+    encoded one by one.
     """
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.table: dict[bytes, bytes] = {}
+        # Whether an id ends a word.
+        end = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(end)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in coded]
 
     def learn(self, words: set[bytes]) -> None:
@@ -72,13 +80,13 @@ class WordIds:
             else:
                 rest.append((w, s))
         for group in (sorted(letters), sorted(signs)):
-            # One text with blanks between: each word is one pre-token of the result.
+            # One text with blanks between: each word is one pre-token, which ends with an end-of-word id.
             if group:
-                e = self.tokenizer.encode(b" ".join(group).decode(), add_special_tokens=False)
-                ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids)
-                cuts = np.searchsorted(of, np.arange(len(group) + 1)) * 4
+                e, = self.tokenizer.encode_batch_fast([b" ".join(group).decode()], add_special_tokens=False)
+                ids = np.array(e.ids, "<u4")
+                cuts = [0, *((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()]
                 ids = ids.tobytes()
-                table.update((w, ids[cuts[k]:cuts[k + 1]]) for k, w in enumerate(group))
+                table.update(zip(group, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
         for w, (base, tail) in parts.items():
             table[w] = table[base] + table[tail] if tail else table[base]
         if rest:
@@ -101,6 +109,12 @@ class WordIds:
         return out
 
 
+@lru_cache(1)
+def word_ids(tokenizer: str) -> WordIds:
+    """One table per Python worker, which serves many tasks."""
+    return WordIds(tokenizer)
+
+
 def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None,
                limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:
     """Pieces of every row: the columns `keep`, piece, start, length, ids_crc32."""
@@ -108,7 +122,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[s
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = WordIds(tokenizer)
+        coder = word_ids(tokenizer)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
             for r, ids in enumerate(coder.of([t or "" for t in batch.column("_text").to_pylist()])):
