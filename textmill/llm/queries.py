@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import linededup, packing, quality, sharding, tokencounts
+from textmill.llm import linededup, neighbours, packing, quality, sharding, tokencounts
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokencounts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
@@ -43,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
