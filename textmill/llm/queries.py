@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import linededup, neighbours, packing, quality, sharding, tokencounts
+from textmill.llm import htmltext, linededup, neighbours, packing, quality, sharding, tokencounts
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_text(read(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("bigint"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_extraction": op5_html_extraction,
     "op6_sharding": op6_sharding,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_token_counts": op9_token_counts,
