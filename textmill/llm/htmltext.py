@@ -2,11 +2,11 @@
 
 1. Each page is read into a light tree; every element that holds text gets a hash of its
    tag, classes, text and children.
-2. Spark counts, per host, on how many different pages a subtree occurs. Pages with the
-   same main text count once, so copies of an article do not make it a template.
+2. Spark counts, per host, on how many different pages a subtree occurs. Pages whose main
+   text begins with the same line count once, so copies of an article do not make it a template.
 3. Subtrees on at least `min_pages` pages and on a share of at least `min_share` of the
-   host's pages are the host's template and are deleted, and so is what its markup
-   names as menu, header, footer, sidebar, notice, advert, form, script, style or comments.
+   host's pages are the host's template and are deleted (paragraphs of an article stay), and
+   so is what its markup names as menu, header, footer, sidebar, notice, advert, form, script, style or comments.
 4. What remains inside the article (else the main part, else the body) is the text: one
    line per block, white space inside a block as one blank.
 
@@ -50,6 +50,8 @@ replies respond discussion related recommended share sharing social toolbar""".s
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Running text of an article: never a template there, since copies of articles share paragraphs.
+PROSE = HEADINGS | frozenset("p li dt dd td th tr blockquote pre article main".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*(?:/>|>.*?(?:</\1\s*>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|[^<]+|<", re.S | re.I)
@@ -152,7 +154,7 @@ def _dropped(node: Node, template: frozenset | set, inside: bool) -> bool:
         return False
     if node.rule == "header" and inside and node.heading:
         return False
-    return bool(node.rule) or node.hash in template
+    return bool(node.rule) or node.hash in template and not (inside and node.tag in PROSE)
 
 
 def _regions(root: Node, template: frozenset | set) -> list[Node]:
@@ -229,7 +231,7 @@ def site_templates(pages: DataFrame, url: str = "url", html: str = "html", min_p
             hosts, subtrees, page = [], [], []
             for host, h in zip(batch.column("host").to_pylist(), batch.column("html")):
                 root = parse(h.as_py() or "")
-                own = _signed(xxhash.xxh3_64_intdigest(main_text(root)))
+                own = _signed(xxhash.xxh3_64_intdigest(main_text(root).partition("\n")[0]))
                 found = subtree_hashes(root)
                 hosts += [host] * len(found)
                 subtrees += map(_signed, found)
