@@ -32,9 +32,9 @@ from textmill.runtime import materialize
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Code points whose class does not depend on the Unicode version; texts with others are cut by the library.
 STABLE = r"[\x00-ԀḀ-⁩₠-₿　-鿿가-힣🌀-🗿]*"
-HOT_TOKENS = 400_000
+HOT_TOKENS = 150_000
 # Pre-tokens a task collects before it passes them on.
-FLUSH = 300_000
+FLUSH = 150_000
 
 
 class PreTokens:
