@@ -221,3 +221,13 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
         T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
         T.StructField("kept", T.StringType())])
     return in_batches(rows, work, schema)
+
+
+def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars",
+                        min_docs: int = 10, **options) -> DataFrame:
+    """`docs` with its columns, its texts without the repeated lines, and their new length where it has that column."""
+    # The row travels as a struct, so that its names cannot clash with the ones made here.
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_of"), F.col(text).alias("_in"))
+    out = line_dedup(rows, "_of", "_in", min_docs, keep=["row"], **options)
+    new = {text: F.col("kept"), n_chars: F.char_length("kept").cast("bigint")}
+    return out.select(*((new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns))

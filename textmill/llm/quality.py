@@ -125,14 +125,13 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> Data
     Texts are measured twice, once to count the hosts' failures and once to filter:
     cheaper than storing or shuffling the texts.
     """
-    def flagged(df: DataFrame) -> DataFrame:
+    def flagged(*columns) -> DataFrame:
         m = F.col("_m")
-        return (df.withColumn("_m", F.explode(F.array(measures(F.col(text)))))
-                .withColumns({"few_words_": few_words(m), "repetitive_": repetitive(m)}))
-
-    judged = flagged(docs.select(text, F.col(host).alias("_host"))).select(
-        "_host", F.col("few_words_").alias("few_words"), F.col("repetitive_").alias("repetitive"))
-    failed = checked_small(host_verdicts(judged, "_host").where("rejected").select(F.col("host").alias("_bad")),
-                           name="failed_hosts")
-    good = flagged(docs).where(~F.col("few_words_") & ~F.col("repetitive_"))
-    return good.join(failed, good[host] == failed["_bad"], "left_anti").select(*docs.columns)
+        return (docs.select(*columns, F.explode(F.array(measures(F.col(text)))).alias("_m"))
+                .withColumns({"few_words": few_words(m), "repetitive": repetitive(m)}))
+
+    failed = checked_small(host_verdicts(flagged(F.col(host).alias("_host")), "_host")
+                           .where("rejected").select(F.col("host").alias("_bad")), name="failed_hosts")
+    # The row travels as a struct, so that its names cannot clash with the ones made here.
+    good = flagged(F.struct("*").alias("_row"), F.col(host).alias("_host")).where("NOT few_words AND NOT repetitive")
+    return good.join(failed, F.col("_host") == F.col("_bad"), "left_anti").select("_row.*")
