@@ -37,9 +37,9 @@ LIMIT = 2048
 END_ID = 0
 # Entries of a worker's table of encoded words; it is started anew when full.
 CACHE_WORDS = 1_500_000
-# Words of plain letters with plain signs behind them. Case and signs are taken off such a word before it is
-# encoded, since the tokenizer lower-cases and never merges letters with signs.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%|]*)")
+# Words of plain letters (here as UTF-8) with plain signs behind them. Case and signs are taken off such a word
+# before it is encoded, since the tokenizer lower-cases and never merges letters with signs.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?*#$%|]*)")
 
 
 class WordIds:
@@ -65,20 +65,22 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         """Add words that the table lacks."""
-        if len(self.table) + len(words) > CACHE_WORDS:
-            self.table.clear()
-        table = self.table
-        parts, rest, letters, signs = {}, [], set(), set()
+        table, plain = self.table, _PLAIN.fullmatch
+        known, bases, tails, rest, letters, signs = [], [], [], [], set(), set()
         for w in words:
-            m = _PLAIN.fullmatch(s := w.decode())
-            if m:
-                parts[w] = base, tail = m[1].lower().encode(), m[2].encode()
+            if m := plain(w):
+                base, tail = m.groups()
+                base = base.decode().lower().encode() if b"\xc3" in base else base.lower()
                 if base not in table:
                     letters.add(base)
-                if tail and tail not in table:
-                    signs.add(tail)
+                if tail or base != w:
+                    known.append(w)
+                    bases.append(base)
+                    tails.append(tail)
+                    if tail and tail not in table:
+                        signs.add(tail)
             else:
-                rest.append((w, s))
+                rest.append(w)
         for group in (sorted(letters), sorted(signs)):
             # One text with blanks between: each word is one pre-token, which ends with an end-of-word id.
             if group:
@@ -87,26 +89,23 @@ class WordIds:
                 cuts = [0, *((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()]
                 ids = ids.tobytes()
                 table.update(zip(group, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
-        for w, (base, tail) in parts.items():
+        for w, base, tail in zip(known, bases, tails):
             table[w] = table[base] + table[tail] if tail else table[base]
         if rest:
-            table.update(zip((w for w, _ in rest), self._encode([s for _, s in rest])))
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Long texts are learned apart, so the table's bound holds but for one text."""
-        out, group, held = [], [], 0
-        for t in [*texts, None]:
-            if group and (t is None or held + len(t) > 2_000_000):
-                split = [x.encode().split() for x in group]
-                missing = set().union(*split)
-                if missing := missing - self.table.keys():
-                    self.learn(missing if len(self.table) + len(missing) <= CACHE_WORDS else set().union(*split))
-                out += [b"".join(map(self.table.__getitem__, w)) for w in split]
-                group, held = [], 0
-            if t is not None:
-                group.append(t)
-                held += len(t)
-        return out
+            table.update(zip(rest, self._encode([w.decode() for w in rest])))
+
+    def of(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of an array without nulls."""
+        split = [t.split() for t in texts.cast(pa.binary()).to_pylist()]
+        distinct = set().union(*split)
+        if missing := distinct - self.table.keys():
+            if len(self.table) + len(missing) > CACHE_WORDS:
+                self.table.clear()
+                missing = distinct
+            self.learn(missing)
+        # A table of these texts' words alone is small enough to be read fast.
+        own = dict(zip(distinct, map(self.table.__getitem__, distinct)))
+        return [b"".join(map(own.__getitem__, words)) for words in split]
 
 
 @lru_cache(1)
@@ -125,7 +124,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[s
         coder = word_ids(tokenizer)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
-            for r, ids in enumerate(coder.of([t or "" for t in batch.column("_text").to_pylist()])):
+            for r, ids in enumerate(coder.of(batch.column("_text"))):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at:at + 4 * limit]
@@ -141,7 +140,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[s
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
-    return in_batches(docs.select(*keep, F.col(text).alias("_text")), work, schema)
+    return in_batches(docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text")), work, schema)
 
 
 def fullest(seed: int, counts: dict[int, int], limit: int) -> list[int]:
