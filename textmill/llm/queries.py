@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import htmltext, jaccard, linededup, neighbours, packing, quality, sharding, tokencounts
+from textmill.llm import htmltext, jaccard, linededup, neighbours, packing, pieces, quality, sharding, tokencounts
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,15 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every text, and whether they decode to it (a mark in a text decodes to a blank)."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents")
+    coded = pieces.decode(pieces.encode(docs, path, keep=["doc_id", "text"]), path, out="decoded")
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
@@ -56,6 +65,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extraction": op5_html_extraction,
     "op6_sharding": op6_sharding,
