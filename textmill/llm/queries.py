@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import htmltext, jaccard, linededup, neighbours, packing, pieces, quality, sharding, tokencounts
+from textmill.llm import (htmltext, jaccard, licenses, linededup, neighbours, packing, pieces, quality, sharding,
+                          tokencounts)
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extraction": op5_html_extraction,
     "op6_sharding": op6_sharding,
+    "op7_license_scan": op7_license_scan,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,

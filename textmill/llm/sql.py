@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from textmill.llm.licenses import TEMPLATES
+
 QUALITY = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, source, t,
@@ -43,7 +45,29 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
 FROM f GROUP BY rid, doc_id
 """
 
+_VALUES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+
+LICENSES = rf"""
+WITH x AS (SELECT 'd' AS kind, row_number() OVER () AS rid, doc_id, NULL AS template, coalesce(text, '') AS t FROM documents
+           UNION ALL SELECT 't', NULL, NULL, template, body FROM (VALUES {_VALUES}) v(template, body)),
+w AS (SELECT kind, rid, doc_id, template, list_filter(regexp_split_to_array(
+             translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda y: y <> '') AS w
+      FROM x),
+s AS (SELECT kind, rid, doc_id, template, len(w) AS n, i, array_to_string(w[i + 1:i + 5], ' ') AS g
+      FROM (SELECT *, unnest(range(len(w) - 4)) AS i FROM w WHERE len(w) >= 5)),
+t AS (SELECT DISTINCT template, n, g FROM s WHERE kind = 't'),
+size AS (SELECT template, count(*) AS n_shingles FROM t GROUP BY template),
+h AS (SELECT s.rid, s.doc_id, t.template, t.n, s.i, s.g FROM s JOIN t USING (g) WHERE s.kind = 'd'),
+win AS (SELECT rid, doc_id, template, n, g, unnest([i // n, i // n - 1]) AS k, i FROM h),
+held AS (SELECT rid, doc_id, template, k * n AS start, count(DISTINCT g) AS found FROM win
+         WHERE k >= 0 AND i + 5 <= k * n + 2 * n GROUP BY ALL)
+SELECT doc_id, template, max(found)::BIGINT AS n_found, any_value(n_shingles)::BIGINT AS n_shingles,
+       min(start)::BIGINT AS first_word
+FROM held JOIN size USING (template) WHERE 100 * found >= 75 * n_shingles GROUP BY rid, doc_id, template
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op4_quality_rules": QUALITY,
+    "op7_license_scan": LICENSES,
 }
