@@ -3,7 +3,7 @@
 1. Each page is read into a light tree; every element that holds text gets a hash of its
    tag, classes, text and children.
 2. Spark counts, per host, on how many different pages a subtree occurs. Pages whose main
-   text begins with the same line count once, so copies of an article do not make it a template.
+   part has the same first heading or paragraph count once, so copies of an article do not make it a template.
 3. Subtrees on at least `min_pages` pages and on a share of at least `min_share` of the
    host's pages are the host's template and are deleted (paragraphs of an article stay), and
    so is what its markup names as menu, header, footer, sidebar, notice, advert, form, script, style or comments.
@@ -213,6 +213,19 @@ def subtree_hashes(root: Node) -> set[int]:
     return out
 
 
+def article_mark(root: Node) -> int:
+    """The hash of the first heading or paragraph with text in the main part (else of the whole text): copies share it."""
+    for region in _regions(root, frozenset()):
+        todo = list(reversed(region.kids))
+        while todo:
+            node = todo.pop()
+            if isinstance(node, Node) and not _dropped(node, frozenset(), True):
+                if node.size and (node.tag == "p" or node.tag in HEADINGS):
+                    return node.hash
+                todo += reversed(node.kids)
+    return xxhash.xxh3_64_intdigest(main_text(root))
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -231,7 +244,7 @@ def site_templates(pages: DataFrame, url: str = "url", html: str = "html", min_p
             hosts, subtrees, page = [], [], []
             for host, h in zip(batch.column("host").to_pylist(), batch.column("html")):
                 root = parse(h.as_py() or "")
-                own = _signed(xxhash.xxh3_64_intdigest(main_text(root).partition("\n")[0]))
+                own = _signed(article_mark(root))
                 found = subtree_hashes(root)
                 hosts += [host] * len(found)
                 subtrees += map(_signed, found)
