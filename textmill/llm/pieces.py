@@ -98,12 +98,13 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     size = F.char_length("unit")
     spans = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda s: F.transform(
         F.sequence(s + 1, F.least(s + longest, size)), lambda e: F.struct(s.alias("s"), e.alias("e")))))
-    # A unit has at least its row of whole length in the lattice, so that none is lost in the join.
+    # A unit has at least its row of whole length in the lattice, so that none is lost; other misses go at once.
     cut = (units.withColumn("size", size).withColumn("x", F.explode(spans))
            .withColumn("piece", F.substring(F.col("unit"), F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))))
     edge = F.when(F.col("id").isNotNull(),
                   F.struct((-F.col("score")).alias("rank"), F.col("x.s").alias("s"), F.col("x.e").alias("e"), "id"))
     return (cut.join(F.broadcast(pieces), "piece", "left")
+            .where(F.col("id").isNotNull() | (F.col("x.e") - F.col("x.s") == F.col("size")))
             .groupBy("unit").agg(F.first("size").alias("size"), F.first("n").alias("n"),
                                  F.sort_array(F.collect_list(edge)).alias("edges")))
 
