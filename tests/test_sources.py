@@ -47,6 +47,20 @@ def test_article_xml(spark, tmp_path):
     assert [tuple(r) for r in got] == [("11", "First part. Second."), ("13", "Only.")]
 
 
+def test_article_xml_keeps_text_in_inline_markup(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("""<PubmedArticleSet><PubmedArticle><PMID>14</PMID><Abstract><AbstractText Label="A">
+Growth of <i>E. coli</i> at 10<sup>6</sup> &lt; 7 &amp;lt; &#x3b1;&#946; cells.</AbstractText><AbstractText/><AbstractText>Second part.</AbstractText>
+</Abstract></PubmedArticle></PubmedArticleSet>""", encoding="utf-8")
+    got = R.read_article_xml(spark, str(tmp_path / "a.xml")).collect()
+    assert [(r.doc_id, r.text.strip()) for r in got] == [
+        ("14", "Growth of E. coli at 106 < 7 &lt; αβ cells. Second part.")]
+
+
+def test_keyword_map_leaves_blank_keywords_out(spark, tmp_path):
+    (tmp_path / "k.json").write_text('{"a b": "X", "": "Y", " ": "Z"}')
+    assert [r.keyword for r in R.read_keyword_map(spark, str(tmp_path / "k.json")).collect()] == ["a b"]
+
+
 def test_corpus_formats(spark, tmp_path):
     df = spark.createDataFrame([(1, 0, "Ein Satz é."), (1, 1, "two\nlines")], "doc_id long, sent_idx int, sentence string")
     W.write_corpus(df, str(tmp_path / "t"), "txt")

@@ -24,6 +24,8 @@ def keyword_pattern(keyword: str) -> str:
     A boundary lies between a word character and anything else, so which look-around
     is needed depends on the keyword's own first and last character.
     """
+    if not keyword:
+        raise ValueError("a keyword must not be empty")
     word = re.compile(r"\w")
     before = "(?<!" if word.match(keyword[0]) else "(?<="
     after = "(?!" if word.match(keyword[-1]) else "(?="

@@ -150,5 +150,23 @@ def parse_annotations(reply: Column | str) -> Column:
     )
 
 
+def plain_text(markup: Column | str) -> Column:
+    """Decode the named XML entities and the numeric references of a text without tags."""
+    c = _col(markup)
+    # Each distinct numeric reference of the row is replaced in turn.
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)"), 1))
+
+    def sign(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"([0-9A-Fa-f]+);", 1)
+        code = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        # Four bytes, big-endian, are the sign in UTF-32.
+        return F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
+
+    done = F.aggregate(refs, c, lambda now, ref: F.replace(now, ref, sign(ref)))
+    for name, value in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
+        done = F.replace(done, F.lit(name), F.lit(value))
+    return done
+
+
 def sigmoid(z: Column | str) -> Column:
     return 1.0 / (1.0 + F.exp(-_col(z)))

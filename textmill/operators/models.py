@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from textmill.functions.text import sigmoid
 from textmill.operators.corpus import KEY
 from textmill.operators.features import build_vocabulary, entries, to_long
-from textmill.runtime import SMALL_ROWS, small_table
+from textmill.runtime import SMALL_ROWS, materialize, small_table
 from textmill.schemas import BIASES, LOSSES, WEIGHTS
 
 # Cells of a weight table that may be compiled into a projection; beyond it, scores are joined.
@@ -135,30 +135,32 @@ def train_ovr_gd(
     `scale="sum"` adds the gradient over all rows, so steps grow with the table;
     `scale="mean"` divides by the row count. The rows stay on the executors as sparse
     blocks; per epoch the weights go out and one gradient per partition comes back
-    through a tree. A lost executor's blocks are rebuilt from `train`.
+    through a tree. A lost executor's blocks are rebuilt from the stored rows.
     """
     if scale not in ("sum", "mean"):
         raise ValueError("scale must be 'sum' or 'mean'")
     spark = train.sparkSession
+    raw = F.unwrap_udt(features)
+    # Stored once: labels, row count and blocks are taken from the stored rows.
+    stored = materialize(train.select("label", raw["indices"].alias("indices"), raw["values"].alias("values")), "training")
     if labels is None:
-        labels = [r.label for r in train.select("label").distinct().limit(MAX_LABELS + 1).collect()]
+        labels = [r.label for r in stored.select("label").distinct().limit(MAX_LABELS + 1).collect()]
     if len(labels) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels")
     labels = sorted(labels)
     k = len(labels)
-    raw = F.unwrap_udt(features)
     y = (F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label")) - 1).cast("int")
-    rows = train.select(y.alias("y"), raw["indices"].alias("indices"), raw["values"].alias("values"))
+    rows = stored.select(y.alias("y"), "indices", "values")
 
     def unpack(record):
         import pickle
         return pickle.loads(record[0])
 
-    n = train.count()
+    n = stored.count()
     if n == 0:
         raise ValueError("no training rows")
-    tasks = min(rows.rdd.getNumPartitions(), -(-n // TASK_ROWS))
-    blocks = rows.coalesce(tasks).mapInArrow(_to_blocks(k), "block binary").rdd.map(unpack)
+    tasks = -(-n // TASK_ROWS)
+    blocks = rows.repartition(tasks).mapInArrow(_to_blocks(k), "block binary").rdd.map(unpack)
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     weights, bias, losses = np.zeros((size, k)), np.zeros(k), []
     rate = lr if scale == "sum" else lr / n

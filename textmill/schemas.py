@@ -10,36 +10,12 @@ KEYWORD_MAP = T.StructType([
     T.StructField("label", T.StringType()),
 ])
 
-HITS = T.StructType([
-    T.StructField("keyword", T.StringType()),
-    T.StructField("rank", T.LongType()),
-    T.StructField("doc_id", T.StringType()),
-])
-
 ABSTRACTS = T.StructType([
     T.StructField("PubMedID", T.StringType()),
     T.StructField("Abstract", T.StringType()),
     T.StructField("Labels", T.ArrayType(T.StringType())),
 ])
 
-# XML elements that carry attributes are read as structs; `_VALUE` is the element's text.
-_TEXT_NODE = T.StructType([T.StructField("_VALUE", T.StringType())])
-ARTICLE = T.StructType([
-    T.StructField("MedlineCitation", T.StructType([
-        T.StructField("PMID", _TEXT_NODE),
-        T.StructField("Article", T.StructType([
-            T.StructField("Abstract", T.StructType([
-                T.StructField("AbstractText", T.ArrayType(_TEXT_NODE)),
-            ])),
-        ])),
-    ])),
-])
-
-PREDICTIONS = T.StructType([
-    T.StructField("label", T.StringType()),
-    T.StructField("prediction", T.StringType()),
-])
-
 WEIGHTS = T.StructType([
     T.StructField("label", T.StringType()),
     T.StructField("idx", T.IntegerType()),

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.functions.text import trim_space
-from textmill.schemas import ABSTRACTS, ARTICLE
+from textmill.functions.text import plain_text, trim_space
+from textmill.schemas import ABSTRACTS
 
 
 def _whole(spark: SparkSession, path: str, type_ddl: str) -> DataFrame:
@@ -21,10 +21,10 @@ def _whole(spark: SparkSession, path: str, type_ddl: str) -> DataFrame:
 
 
 def read_keyword_map(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, keyword, label) from a JSON object, in file order."""
+    """(pos, keyword, label) from a JSON object, in file order. Blank keywords, which no text can mention, are left out."""
     pairs = F.posexplode(F.map_entries("parsed")).alias("pos", "e")
     return _whole(spark, path, "map<string,string>").select(pairs).select(
-        "pos", F.col("e.key").alias("keyword"), F.col("e.value").alias("label"))
+        "pos", F.col("e.key").alias("keyword"), F.col("e.value").alias("label")).where(F.trim("keyword") != "")
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -63,9 +63,14 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 def read_article_xml(spark: SparkSession, path: str, row_tag: str = "PubmedArticle") -> DataFrame:
     """(doc_id, text) from article records; sections are joined by a space, and records
-    without an abstract are left out."""
-    raw = spark.read.format("xml").option("rowTag", row_tag).schema(ARTICLE).load(path)
-    cited = F.col("MedlineCitation")
-    sections = cited["Article"]["Abstract"]["AbstractText"]["_VALUE"]
-    return raw.select(cited["PMID"]["_VALUE"].alias("doc_id"), F.array_join(sections, " ").alias("text")).filter(
-        F.col("doc_id").isNotNull() & sections.isNotNull())
+    without an abstract are left out. Text inside inline markup stays."""
+    # A record is read as its raw text, since a schema would keep one text node per section.
+    raw = spark.read.format("text").option("lineSep", f"</{row_tag}>").load(path).select(
+        F.regexp_extract("value", rf"(?s)<{row_tag}(?:\s[^>]*)?>(.*)", 1).alias("record"))
+    # Cited works further down have ids of their own: the first id is the record's.
+    doc_id = F.regexp_extract("record", r"(?s)<PMID(?:\s[^>]*)?>(.*?)</PMID>", 1)
+    bodies = F.regexp_extract_all("record", F.lit(r"(?s)<AbstractText(?:\s[^>]*[^/>]|\s*)>(.*?)</AbstractText>"), 1)
+    sections = F.transform(bodies, lambda b: trim_space(
+        plain_text(F.regexp_replace(b, r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", ""))))
+    return raw.select(F.trim(doc_id).alias("doc_id"), F.array_join(sections, " ").alias("text")).filter(
+        (F.col("doc_id") != "") & (F.size(sections) > 0))
