@@ -354,6 +354,10 @@ def oracles() -> dict[str, str]:
     q["tfidf_terms"] = sql(f"SELECT {KEY}, idx, round(weight, 6) AS weight FROM weights", ["weights"])
     normed = f"SELECT {KEY}, idx, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY {KEY})), 6) AS weight FROM weights"
     q["l2_norm"] = q["tfidf_vectors"] = sql(normed, ["weights"])
+    every = {"vocab": (["tok"], """SELECT term, CAST(row_number() OVER (ORDER BY md5(term), term) - 1 AS INTEGER) AS idx,
+        count(*) AS tf, count(DISTINCT (doc_id, sent_idx)) AS df FROM tok GROUP BY term""")}
+    q["count_vectors_all_terms"] = sql(f"SELECT {KEY}, idx, n FROM counts", ["counts"], every)
+    q["tfidf_all_terms"] = sql(normed, ["weights"], every)
     words = {
         "tok": (["norm"], f"SELECT {KEY}, unnest({words2('norm')}) AS term, 1 AS n_terms FROM norm"),
     }

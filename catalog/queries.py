@@ -339,6 +339,18 @@ def count_vectors(spark, sf):
     return V.count_vectors(rows, vocab)
 
 
+@query
+def count_vectors_all_terms(spark, sf):
+    rows = materialize(normalized(spark, sf).select(*KEY, "tokens"), "terms")
+    return V.count_vectors(rows, materialize(V.build_vocabulary(rows, max_features=None), "vocab"))
+
+
+@query
+def tfidf_all_terms(spark, sf):
+    rows = materialize(normalized(spark, sf).select(*KEY, "tokens"), "terms")
+    return rounded(V.tfidf_all_terms(rows, rows), "weight")
+
+
 @query
 def tfidf_terms(spark, sf):
     rows, vocab = _fitted(spark, sf)

@@ -125,12 +125,24 @@ def tfidf_model(vocab: DataFrame, terms: str = "tokens", out: str = "features")
 def tfidf_fit(
     train: DataFrame, terms: str = "tokens", max_features: int = 1000, out: str = "features"
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit vocabulary and idf on the training rows: (feature pipeline, vocabulary table)."""
+    """Fit vocabulary and idf on the training rows: (feature pipeline, vocabulary table).
+
+    The pipeline holds its vocabulary on the driver, so the number of terms must be given;
+    `tfidf_all_terms` works without.
+    """
+    if max_features is None:
+        raise ValueError("a feature pipeline needs max_features; use tfidf_all_terms for all terms")
     vocab = small_table(build_vocabulary(train, terms, max_features), max_features)
     vocab = fit_idf(train, vocab, terms)
     return tfidf_model(vocab, terms, out), vocab
 
 
+def tfidf_all_terms(train: DataFrame, df: DataFrame, terms: str = "tokens", key: list[str] = KEY) -> DataFrame:
+    """Long form (key, idx, weight), L2 normalised, over all terms of the training rows: nothing is kept on the driver."""
+    vocab = materialize(fit_idf(train, build_vocabulary(train, terms, None), terms), "idf")
+    return l2_normalize(tfidf(df, vocab, terms, key), key)
+
+
 def transform(model: PipelineModel, df: DataFrame, out: str = "features") -> DataFrame:
     """Apply a feature pipeline and drop its intermediate columns."""
     return model.transform(df).select(*[c for c in df.columns if c != out], out)
