@@ -28,9 +28,9 @@ def rows_of(table) -> tuple[list[str], list[tuple]]:
     return names, sorted(zip(*columns), key=repr)
 
 
-def compare(spark, con, sf_dir: str, name: str, sql: str) -> tuple[bool, str]:
+def compare(spark, con, sf_dir: str, query, sql: str) -> tuple[bool, str]:
     start = time.time()
-    got_names, got = rows_of(QUERIES[name](spark, sf_dir).toArrow())
+    got_names, got = rows_of(query(spark, sf_dir).toArrow())
     mine = time.time() - start
     want_names, want = rows_of(con.sql(sql).to_arrow_table())
     if got_names != want_names:
@@ -53,7 +53,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in sql:
-                ok, note = compare(spark, con, sf_dir, name, sql[name])
+                ok, note = compare(spark, con, sf_dir, QUERIES[name], sql[name])
                 state = "ok  " if ok else "FAIL"
             else:
                 state, note = "rows", f"{QUERIES[name](spark, sf_dir).count()} rows"

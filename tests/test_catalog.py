@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry_module
 from catalog import queries
 from catalog.check import compare, connect
+from catalog.oracles import oracles
 
 SF = "/root/testdata/sf0.001"
-SQL = entry_module.oracle_sql()
+SQL = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,8 @@ def train_once():
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(entry_module.queries())
+    assert set(SQL) <= set(queries.QUERIES)
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
@@ -33,5 +35,5 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, name):
-    ok, note = compare(spark, con, SF, name, SQL[name])
+    ok, note = compare(spark, con, SF, queries.QUERIES[name], SQL[name])
     assert ok, note
