@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.llm import (htmltext, jaccard, licenses, linededup, neighbours, packing, pieces, quality, sharding,
-                          tokencounts)
+                          spelling, tokencounts)
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(read(spark, sf_dir, "documents"), slip_every=97)
+    return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_spelling_variants": op12_spelling_variants,
 }

