@@ -1,14 +1,14 @@
 """Spelling variants, lexical search and repeated passages against brute force."""
 
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
-from textmill.llm import spelling
+from textmill.llm import lexical, spelling
 
 
 def same(got, expected):
@@ -69,3 +69,41 @@ def test_count_words(spark, docs, texts, no_docs):
     assert spelling.variant_groups(spelling.count_words(no_docs)).count() == 0
     with pytest.raises(ValueError):
         spelling.variant_groups(spelling.count_words(no_docs), factor=1)
+
+
+# 13 ranked lexical search
+
+def ranking_by_brute_force(texts, queries, k):
+    def terms(t):
+        return re.findall("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+",
+                          "".join(c.lower() if c.isascii() else c for c in t or ""))
+    docs = [(i, Counter(terms(t))) for i, t, *_ in texts if terms(t)]
+    n_docs, n_terms = len(docs), sum(c.total() for _, c in docs)
+    df = Counter(t for _, c in docs for t in c)
+    out = []
+    for name, q in queries:
+        scored = []
+        for i, c in docs:
+            m = 100 - 50 + 50 * c.total() * n_docs // n_terms
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                        * (10 ** 9 * c[t] // (1000 * c[t] + 20 * m)) for t in set(terms(q)) if t in c)
+            if score > 0:
+                scored.append((-score, i is not None, i or 0, i))
+        out += [(name, r, e[3], -e[0]) for r, e in enumerate(sorted(scored)[:k], 1)]
+    return out
+
+
+@pytest.mark.parametrize("sketch, block_queries, k", [(1024, 1000, 50), (4, 3, 5), (1, 1000, 2)])
+def test_search(spark, docs, texts, sketch, block_queries, k):
+    queries = [(0, "read more on our site"), (1, "SPAM! and, spam_more"), (2, None), (3, ""), (3, "é ñ don't 日本 😀 x"),
+               (None, "Two words"), (5, "none-of-these-qqq"), (6, next(t for i, t, *_ in texts if i == 71)), (7, "\n \x00")]
+    table = spark.createDataFrame(queries, "item_id long, text string")
+    got = lexical.search(docs, table, k=k, sketch=sketch, block_queries=block_queries)
+    same(got.collect(), ranking_by_brute_force(texts, queries, k))
+
+
+def test_search_of_nothing(spark, docs, no_docs):
+    table = spark.createDataFrame([(1, "words")], "item_id long, text string")
+    assert lexical.search(no_docs, table).count() == 0
+    empty = lexical.search(docs, table.where("false"))
+    assert empty.count() == 0 and empty.columns == ["item_id", "rank", "doc_id", "score"]

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import (htmltext, jaccard, licenses, linededup, neighbours, packing, pieces, quality, sharding,
-                          spelling, tokencounts)
+from textmill.llm import (htmltext, jaccard, lexical, licenses, linededup, neighbours, packing, pieces, quality,
+                          sharding, spelling, tokencounts)
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -84,4 +88,5 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_lexical_search": op13_lexical_search,
 }

@@ -95,9 +95,32 @@ ends AS (SELECT word, arg_max(tip, depth) AS root FROM chain GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
 """
 
+LEXICAL = r"""
+WITH found AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text,
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+d AS (SELECT * FROM found WHERE len(t) > 0),
+s AS (SELECT count(*)::BIGINT AS big_n, sum(len(t))::BIGINT AS l FROM d),
+q AS (SELECT DISTINCT qid, item_id, unnest(regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM (SELECT row_number() OVER () AS qid, * FROM benchmark)),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM tf, s GROUP BY term),
+scored AS (SELECT qid, item_id, rid, doc_id,
+                  sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * big_n) // l))))::BIGINT AS score
+           FROM q JOIN tf USING (term) JOIN w USING (term), s GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op4_quality_rules": QUALITY,
     "op7_license_scan": LICENSES,
     "op12_spelling_variants": SPELLING,
+    "op13_lexical_search": LEXICAL,
 }
