@@ -6,9 +6,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
+import xxhash
 
-from textmill.llm import lexical, spelling
+from textmill.llm import lexical, spelling, suffixdedup
 
 
 def same(got, expected):
@@ -107,3 +109,59 @@ def test_search_of_nothing(spark, docs, no_docs):
     assert lexical.search(no_docs, table).count() == 0
     empty = lexical.search(docs, table.where("false"))
     assert empty.count() == 0 and empty.columns == ["item_id", "rank", "doc_id", "score"]
+
+
+# 11 suffix-array dedup
+
+def cut_by_brute_force(texts, window):
+    rows = [(i, (t or "").encode()) for i, t, *_ in texts]
+    least = {}
+    for i, b in rows:
+        for s in range(len(b) - window + 1):
+            key = (i is not None, i or 0, xxhash.xxh3_64_intdigest(b) - (1 << 63), s)
+            w = b[s:s + window]
+            least[w] = min(key, least.get(w, key))
+    out = []
+    for i, b in rows:
+        own = (i is not None, i or 0, xxhash.xxh3_64_intdigest(b) - (1 << 63))
+        gone = [False] * len(b)
+        for s in range(len(b) - window + 1):
+            if least[b[s:s + window]] < (*own, s):
+                gone[s:s + window] = [True] * window
+        spans = [m.span() for m in re.finditer("x+", "".join("x" if g else "." for g in gone))]
+        out.append((i, len(b), sum(gone), spans, bytes(c for c, g in zip(b, gone) if not g)))
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_slices": 0}, {"hot_slices": 3, "block_bytes": 2000},
+                                     {"block_bytes": 1, "segment_bytes": 1000}])
+def test_suffix_dedup(spark, docs, texts, options):
+    periodic = [(90, "ab" * 300, ""), (91, "ab" * 90, ""), (92, "a" * 500, ""), (92, "b" + "a" * 200 + "c", "")]
+    more = spark.createDataFrame([(i, t, "en", s, 1, "x", 1, 2, 3, True, 4, 5) for i, t, s in periodic], docs.schema)
+    # The long text would make brute force slow.
+    short = [x for x in texts if len(x[1] or "") < 5000]
+    got = suffixdedup.suffix_dedup(docs.where("text is null or length(text) < 5000").unionAll(more), window=40, **options)
+    got = [(r[0], r[1], r[2], [tuple(s) for s in r[3]], bytes(r[4])) for r in got.collect()]
+    same(got, cut_by_brute_force(short + periodic, 40))
+
+
+def test_suffix_dedup_keeps_columns(docs, no_docs):
+    got = suffixdedup.suffix_dedup(docs, keep=["id", "row", "size", "text"])
+    assert got.columns == ["id", "row", "size", "text", "n_bytes", "n_removed", "spans", "kept"]
+    assert got.count() == docs.count()
+    assert suffixdedup.suffix_dedup(no_docs).count() == 0
+    with pytest.raises(ValueError):
+        suffixdedup.suffix_dedup(docs, window=20)
+
+
+@pytest.mark.parametrize("letters, n", [("ab", 400), ("abcdefgh\x00\xff", 3000)])
+def test_deep_shallow(letters, n):
+    r = random.Random(5)
+    parts = ["".join(r.choices(letters, k=r.randint(1, 60))) for _ in range(12)]
+    buf = "".join(r.choice(parts) for _ in range(n // 8)).encode("latin1")
+    starts = np.array([r.randrange(len(buf) - 50) for _ in range(n)])
+    group = np.array([r.randrange(3) for _ in range(n)])
+    order, equal = suffixdedup.deep_shallow(buf + bytes(8), starts, group, 50)
+    strings = [(group[i], buf[starts[i]:starts[i] + 50]) for i in order]
+    assert sorted(order.tolist()) == list(range(n)) and strings == sorted(strings)
+    assert equal.tolist() == [False] + [a == b for a, b in zip(strings, strings[1:])]

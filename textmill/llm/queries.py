@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.llm import (htmltext, jaccard, lexical, licenses, linededup, neighbours, packing, pieces, quality,
-                          sharding, spelling, tokencounts)
+                          sharding, spelling, suffixdedup, tokencounts)
 from textmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.suffix_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.count_words(read(spark, sf_dir, "documents"), slip_every=97)
     return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
@@ -87,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_lexical_search": op13_lexical_search,
 }

@@ -66,6 +66,24 @@ SELECT doc_id, template, max(found)::BIGINT AS n_found, any_value(n_shingles)::B
 FROM held JOIN size USING (template) WHERE 100 * found >= 75 * n_shingles GROUP BY rid, doc_id, template
 """
 
+SUFFIXES = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+wins AS (SELECT rid, doc_id, unnest(range(len(x) // 2 - 99)) AS s, x FROM d WHERE len(x) >= 200),
+late AS (SELECT rid, s FROM (SELECT rid, doc_id, s, md5(substr(x, 2 * s + 1, 200)) AS w FROM wins)
+         QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id NULLS FIRST, s) > 1),
+runs AS (SELECT rid, min(s) AS a, max(s) + 100 AS b FROM (
+           SELECT rid, s, sum(fresh) OVER (PARTITION BY rid ORDER BY s) AS run FROM (
+             SELECT rid, s, CASE WHEN s > lag(s) OVER (PARTITION BY rid ORDER BY s) + 100 THEN 1 ELSE 0 END AS fresh FROM late))
+         GROUP BY rid, run),
+kept AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM runs),
+rest AS (SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS tail,
+                string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS y
+         FROM kept JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(y, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN rest USING (rid)
+"""
+
 # The checksum is computed bit by bit, since there is no function for it.
 SPELLING = r"""
 WITH RECURSIVE runs AS (
@@ -121,6 +139,7 @@ ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op4_quality_rules": QUALITY,
     "op7_license_scan": LICENSES,
+    "op11_suffix_dedup": SUFFIXES,
     "op12_spelling_variants": SPELLING,
     "op13_lexical_search": LEXICAL,
 }
