@@ -60,6 +60,10 @@ def split_text(text: str) -> str:
     return f"string_split({marked}, chr(1))"
 
 
+def marked(text: str) -> str:
+    return rf"regexp_replace({text}, '([{WORD}]+)', chr(1) || '\1' || chr(1), 'g')"
+
+
 def found(cases: list[tuple[str, str]]) -> str:
     parts = ", ".join(f"CASE WHEN {test} THEN {lit(label)} END" for test, label in cases)
     return f"list_filter([{parts}], lambda x: x IS NOT NULL)"
@@ -122,6 +126,13 @@ CTES: dict[str, tuple[list[str], str]] = {
         FROM tok JOIN vidf USING (term) GROUP BY {KEY}, idx, idf, n_terms"""),
     "weights": (["counts"], f"SELECT {KEY}, idx, n / n_terms * idf AS weight FROM counts"),
     "kwvoc": (["vocab"], "SELECT idx AS pos, term AS keyword, term[1] AS label FROM vocab"),
+    "kwpair": ([], f"""SELECT CAST(min(item_id * 10000 + spot) AS INTEGER) AS pos, keyword, keyword[1] AS label FROM (
+        SELECT item_id, unnest(range(len(p))) AS spot, unnest(p) AS keyword FROM (
+            SELECT item_id, regexp_extract_all(text, '[{WORD}]+[^{WORD}]+[{WORD}]+') AS p FROM benchmark)) GROUP BY keyword"""),
+    # Every word between two marks: a keyword made of whole words is then a plain substring.
+    "marked": (["sents"], f"SELECT *, {marked('sentence')} AS m FROM sents"),
+    "pairhit": (["marked", "kwpair"], f"""SELECT {KEY}, m, pos, keyword, label FROM marked
+        JOIN kwpair ON contains(lower(m), lower({marked('keyword')}))"""),
     "hits": (["kw"], """SELECT keyword, row_number() OVER (PARTITION BY keyword ORDER BY doc_id) AS rank, doc_id
         FROM documents JOIN kw ON contains(lower(text), keyword)"""),
     "doclab": (["hits"], """SELECT doc_id, list(label ORDER BY pos) AS labels FROM (
@@ -285,6 +296,14 @@ def oracles() -> dict[str, str]:
         ON contains(' ' || norm || ' ', ' ' || keyword || ' ')""", ["norm", "kw"])
     q["match_keywords_large_map"] = sql(f"""SELECT DISTINCT {KEY}, pos, keyword, label FROM tok
         JOIN kwvoc ON term = keyword""", ["tok", "kwvoc"])
+    q["match_keywords_raw_large_map"] = sql(f"SELECT {KEY}, pos, keyword, label FROM pairhit", ["pairhit"])
+    q["keyword_mentions_large_map"] = sql(f"""SELECT {KEY}, sentence FROM sents WHERE EXISTS
+        (SELECT 1 FROM kwpair WHERE contains(lower(sentence), lower(keyword)))""", ["sents", "kwpair"])
+    hidden = f"""replace(list_reduce(list_prepend(any_value(m), list('(?i)' || regexp_escape({marked('keyword')}) ORDER BY pos)),
+        lambda t, p: regexp_replace(t, p, '', 'g')), chr(1), '')"""
+    q["hide_own_keywords_raw_large_map"] = sql(f"""SELECT {KEY}, label, {hidden} AS sentence FROM pairhit
+        JOIN (SELECT {KEY}, arg_min(label, pos) AS label FROM pairhit GROUP BY {KEY}) USING ({KEY}, label)
+        GROUP BY {KEY}, label""", ["pairhit"])
     large = f"""SELECT {KEY}, list(label ORDER BY pos) AS labels FROM (SELECT DISTINCT {KEY}, pos, label
         FROM tok JOIN kwvoc ON term = keyword) GROUP BY {KEY}"""
     q["assign_labels_large_map"] = sql(f"""SELECT {KEY}, coalesce(array_to_string(labels, '|'), 'Other') AS labels

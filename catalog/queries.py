@@ -146,6 +146,35 @@ def assign_labels_large_map(spark, sf):
     return joined(C.assign_labels(*_with_own_map(spark, sf)).select(*KEY, "labels"), "labels")
 
 
+def _pair_map(spark, sf) -> DataFrame:
+    """A keyword map with case, digits and punctuation: pairs of neighbouring words of the
+    benchmark texts as written there, labelled by their first letter."""
+    pair = F.regexp_extract_all("text", F.lit(f"([{X.WORD_CHARS}]+[^{X.WORD_CHARS}]+[{X.WORD_CHARS}]+)"), 1)
+    each = table(spark, sf, "benchmark").select("item_id", F.posexplode(pair).alias("at", "keyword"))
+    return small_table(each.groupBy("keyword").agg(
+        F.min(F.col("item_id") * 10_000 + F.col("at")).cast("int").alias("pos"),
+        F.first(F.substring("keyword", 1, 1)).alias("label")).select("pos", "keyword", "label"))
+
+
+@query
+def match_keywords_raw_large_map(spark, sf):
+    """Whole words of raw sentences against a map beyond the projection's limit."""
+    return C.match_keywords(materialize(sentences(spark, sf), "sentences"), _pair_map(spark, sf), "sentence")
+
+
+@query
+def hide_own_keywords_raw_large_map(spark, sf):
+    rows, kwmap = materialize(sentences(spark, sf), "sentences"), _pair_map(spark, sf)
+    first = C.exclude_label(C.first_label(C.assign_labels(rows, kwmap, "sentence")))
+    return C.hide_own_keywords(materialize(first.select(*KEY, "label", "sentence"), "first"), kwmap, "sentence")
+
+
+@query
+def keyword_mentions_large_map(spark, sf):
+    """Sentences that mention a keyword as a substring, found through four-character parts."""
+    return C.mentions_any(materialize(sentences(spark, sf), "sentences"), _pair_map(spark, sf))
+
+
 @query
 def assign_labels(spark, sf):
     return joined(C.assign_labels(normalized(spark, sf), KEYWORDS).select(*KEY, "labels"), "labels")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import keywords as K
 from textmill.operators import corpus as C
+from textmill.runtime import materialize
 
 
 def one(spark, text, column):
@@ -77,21 +78,55 @@ def test_label_names_in_three_casings(spark):
     assert one(spark, text, K.hide_label_names("t", ["Colony PCR"])) == " Colony pcr "
 
 
-def test_join_form_equals_literal_form(spark, monkeypatch):
-    kwmap = {"b": "B", "a b": "AB", "B c": "B", "x-y": "Never", "c": "C", "a": "B"}
-    rows = [(1, i, t.split(), t) for i, t in enumerate(["a b c", "c", "z", "b b a b", "a c b"])]
-    df = spark.createDataFrame(rows, "doc_id long, sent_idx int, tokens array<string>, norm string")
-    literal = C.first_label(C.assign_labels(df, kwmap))
-    expected = literal.orderBy("sent_idx").collect()
-    hidden = C.hide_own_keywords(literal, kwmap).orderBy("sent_idx").collect()
-    removed = C.count_removed(literal, kwmap).first()
+def by_limit(monkeypatch, work):
+    """What `work` gives with the map compiled into the projection, and with the map joined."""
+    literal = work()
     monkeypatch.setattr(C.keyword_pairs, "__defaults__", (0,))
-    joined = C.first_label(C.assign_labels(df, kwmap))
-    assert joined.select(*df.columns, "labels", "label").orderBy("sent_idx").collect() == expected
-    assert C.hide_own_keywords(literal, kwmap).orderBy("sent_idx").collect() == hidden
-    assert C.hide_own_keywords(literal.drop("tokens"), kwmap).orderBy("sent_idx").select("norm").collect() == [
-        (r.norm,) for r in hidden]
-    assert C.count_removed(literal, kwmap).first() == removed
+    return literal, work()
+
+
+@pytest.mark.parametrize("column", ["norm", "raw"])
+def test_join_form_equals_literal_form(spark, monkeypatch, column):
+    kwmap = {"b": "B", "a b": "AB", "B c": "B", "x-y": "Never", "c": "C", "a": "B", "gpl-3.0": "L", "e. coli": "E", "of gene": "G",
+             "gene": "G", "--": "P", "(b)": "P", "ac": "P", "é": "B", "kit": "K", "ΟΔΟΣ": "S", "3.0": "L", ",": "P"}
+    texts = ["a b c", "c", "z", "b b a b", "a c b", "x-y gpl-3.0", "GPL-3.0, of gene.", "E. COLI e.coli", "a--b a-- b", "a(b)c (b)",
+             "", None, "É éa", chr(0x212A) + "it", "οδος οδοσ", "a,b a, b", "a--b a-- b"]
+    rows = [(1 if i % 3 else None, i // 2, t, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, sent_idx int, norm string, raw string")
+    label = lambda: C.first_label(C.assign_labels(df, kwmap, column))
+    every = lambda x: sorted(x.collect(), key=str)
+    first = materialize(label())
+    work = lambda: (every(label()), every(C.match_keywords(df, kwmap, column)),
+                    every(C.hide_own_keywords(first, kwmap, column)), C.count_removed(first, kwmap, column).first())
+    literal, joined = by_limit(monkeypatch, work)
+    assert joined == literal and len(literal[1]) > 20
+
+
+def test_hiding_may_join_words(spark, monkeypatch):
+    kwmap = {"(b)": "P", "ac": "P", "x--y": "Q", "foo": "Q", "x": "R"}
+    # Hiding "(b)" makes "ac"; hiding "foo" makes "x--y", which comes too late.
+    df = spark.createDataFrame([("P", "a(b)c"), ("Q", "x-foo-y x--y"), ("R", "x x"), (None, "x")], "label string, norm string")
+    literal, joined = by_limit(monkeypatch, lambda: sorted(C.hide_own_keywords(df, kwmap).collect(), key=str))
+    assert joined == literal and ("P", "") in [tuple(r) for r in literal]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("ab é_-.", max_size=12), min_size=1, max_size=20),
+       st.lists(st.text("abB.é-_ ", min_size=1, max_size=6), min_size=1, max_size=12, unique=True))
+def test_any_map_size_gives_the_same_rows(spark, texts, keywords):
+    df = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "doc_id long, sent_idx int, norm string")
+    kwmap = {k: k[0] for k in keywords}
+    padded = {**kwmap, **{f"never{i}": "N" for i in range(501)}}
+    for work in (lambda m: C.match_keywords(df, m), lambda m: C.mentions_any(df, m, "norm")):
+        assert sorted(work(kwmap).collect()) == sorted(work(padded).collect())
+
+
+def test_substring_search_equals_literal_form(spark, monkeypatch):
+    texts = ["Lada Colony PCR", "colony pcrs", "x", "", None, "ab", "日本語 text", "aaaaaa", "ÉCOLE", "Lada Colony PCR"]
+    df = spark.createDataFrame([(None if i % 2 else 1, t) for i, t in enumerate(texts)], "k int, sentence string")
+    kwmap = {"la": 1, "colony PCR": 1, "本": 1, "aaaaa": 1, "école": 1, "B": 1, "nowhere at all": 1}
+    literal, joined = by_limit(monkeypatch, lambda: sorted(C.mentions_any(df, kwmap).collect(), key=str))
+    assert joined == literal and len(literal) == 7
 
 
 def test_normalized_keywords_reach_more(spark):

@@ -17,6 +17,10 @@ MARK = chr(1)
 # match treats as i, i, s and k.
 FOLDS = [(chr(0x130), "i"), (chr(0x131), "i"), (chr(0x17F), "s"), (chr(0x212A), "k")]
 
+# Letters that differ in lower case only, such as the two small sigmas, and the usual one of each.
+SAME_UPPER = {c: u for c in map(chr, range(0x80, 0x10000)) if len(u := c.upper().lower()) == len(c.upper()) == 1
+              and u != c == c.lower()}
+
 
 def keyword_pattern(keyword: str) -> str:
     """Case-blind whole-word pattern with Unicode word boundaries.
@@ -49,9 +53,14 @@ def fold_case(text: Column | str) -> Column:
     return F.lower(plain)
 
 
+def fold_token(text: Column | str) -> Column:
+    """A form that is the same for all texts that are equal when case is ignored."""
+    return F.translate(fold_case(text), "".join(SAME_UPPER), "".join(SAME_UPPER.values()))
+
+
 def contains_keyword(text: Column | str, keyword: str) -> Column:
     """Case-blind substring test."""
-    return F.lower(_col(text)).contains(keyword.lower())
+    return F.lower(_col(text)).contains(F.lower(F.lit(keyword)))
 
 
 def contains_any(text: Column | str, keywords: list[str]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import keywords as K
 from textmill.functions import text as X
+from textmill.operators import lookup as L
 from textmill.operators.ranking import rank_within, top_per_group
 from textmill.runtime import materialize, small_table
 from textmill.schemas import KEYWORD_MAP
@@ -97,17 +98,31 @@ def sentences(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
 
 
 def mentions_any(df: DataFrame, kwmap: KeywordMap | list[str], text: str = "sentence") -> DataFrame:
-    """Keep rows that contain a keyword as a case-blind substring."""
+    """Keep rows that contain a keyword as a case-blind substring.
+
+    A map beyond `LITERAL_KEYWORDS` is searched through an index on the rarest four characters of
+    each keyword; only keywords that share them with a row are tested there. The
+    rows are then read twice: pass a stored table, not a long plan.
+    """
     if isinstance(kwmap, list):
-        words = kwmap
-    elif isinstance(kwmap, dict):
-        words = list(kwmap)
-    else:
-        words = [r.keyword for r in kwmap.select("keyword").distinct().collect()]
-    if len(words) <= LITERAL_KEYWORDS:
-        return df.filter(K.contains_any(text, words))
+        kwmap = {k: "" for k in kwmap}
+    pairs = keyword_pairs(kwmap)
+    if pairs is not None:
+        return df.filter(K.contains_any(text, [k for k, _ in pairs]))
+    words = keyword_frame(df.sparkSession, kwmap).select(F.lower("keyword").alias("_word")).distinct()
+    # A keyword shorter than the grams goes by itself.
+    sizes = sorted(r[0] for r in words.select(F.least(F.length("_word"), F.lit(L.GRAM))).distinct().collect())
+    if sizes and sizes[0] == 0:  # the empty keyword is in every text
+        return df.filter(F.col(text).isNotNull())
+
+    def parts(of: Column) -> Column:
+        each = [F.when(F.length(of) == n, F.array(of)).otherwise(L.grams(of, n)) for n in sizes]
+        return F.flatten(F.array(*each))
+    own = F.when(F.length("_word") < L.GRAM, F.array("_word")).otherwise(L.grams("_word", L.GRAM))
+    index = L.rarest_part(words, own, ["_word"])
     lowered = F.lower(F.col(text))
-    return df.filter(F.exists(F.array(*[F.lit(w.lower()) for w in words]), lambda w: lowered.contains(w)))
+    found = L.with_candidates(df, text, parts(lowered), index, "inner")
+    return found.filter(F.exists("_found", lambda f: lowered.contains(f["_word"]))).select(*df.columns)
 
 
 def normalize_text(df: DataFrame, text: str = "sentence", stop: list[str] | None = None) -> DataFrame:
@@ -189,12 +204,14 @@ def lemmatize(df: DataFrame, lexicon: DataFrame | None = None, key: list[str] =
 def match_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: list[str] = KEY) -> DataFrame:
     """Long form (key, pos, keyword, label): one row per keyword found as a whole word.
 
-    A map beyond `LITERAL_KEYWORDS` needs `tokens` beside a normalised `text`: the row's
-    token n-grams are hashed against the keywords, which costs the same for any map size.
+    A map of any size gives the same rows. Up to `LITERAL_KEYWORDS` keywords are compiled into the
+    projection; a larger map is looked up by word (see `_with_keywords`).
     """
     pairs = keyword_pairs(kwmap)
     if pairs is None:
-        return _match_grams(df, keyword_frame(df.sparkSession, kwmap), key)
+        found = _with_keywords(df, keyword_frame(df.sparkSession, kwmap), text, "inner")
+        hits = found.select(*key, F.explode(_whole_words(text)).alias("_hit"))
+        return hits.select(*key, "_hit.pos", "_hit.keyword", "_hit.label")
     found = [
         F.when(K.has_keyword(text, k, F.col("_folded")), F.struct(F.lit(pos).alias("pos"), F.lit(k).alias("keyword"),
                                                 F.lit(label).alias("label")))
@@ -204,22 +221,31 @@ def match_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: li
     return folded.select(*key, F.explode(F.array_compact(F.array(*found))).alias("_hit")).select(*key, "_hit.*")
 
 
-def _match_grams(df: DataFrame, kwmap: DataFrame, key: list[str]) -> DataFrame:
-    # Normalised text holds letters and single spaces only, so no other keyword can match.
-    usable = kwmap.withColumn("_gram", K.fold_case("keyword")).filter(
-        F.col("keyword").rlike(r"^\p{L}+( \p{L}+)*$"))
-    widths = [r[0] for r in usable.select(F.size(F.split("_gram", " "))).distinct().collect()]
+def _with_keywords(df: DataFrame, kwmap: DataFrame, text: str, how: str = "left") -> DataFrame:
+    """Add `_found`: the keywords (pos, keyword, label, pattern, hay) that the text may hold, in map order.
 
-    def windows(n: int) -> Column:
-        last = F.size("tokens") - n + 1
-        starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: K.fold_case(F.array_join(F.slice("tokens", i, F.lit(n)), " ")))
+    Where a keyword is a whole word in a text, each run of word characters in it is one of the text;
+    a keyword without such a run is one of the runs between words. The index
+    goes by the run that the fewest keywords have. `df` is read twice: pass a stored table.
+    """
+    # With an empty keyword the smaller maps fail, too.
+    word = F.when(F.col("keyword") == "", F.raise_error(F.lit("a keyword must not be empty")).cast("string")
+                  ).otherwise(F.col("keyword"))
+    table = kwmap.select("pos", word.alias("keyword"), "label").withColumns(
+        {"pattern": K.pattern_column("keyword"), "hay": K.fold_token("keyword")})
+    gaps = bool(table.where(~F.col("keyword").rlike(f"[{X.WORD_CHARS}]")).limit(1).count())
 
-    grams = [windows(n) for n in widths]
-    if not grams:
-        grams = [F.array().cast("array<string>")]
-    each = df.select(*key, F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram"))
-    return each.join(usable, "_gram").select(*key, "pos", "keyword", "label")
+    def runs(of: str) -> Column:
+        return F.transform(L.word_runs(of, gaps), K.fold_token)
+    words = F.transform(L.word_runs("keyword"), K.fold_token)
+    index = L.rarest_part(table, F.when(F.size(words) > 0, words).otherwise(runs("keyword")), ["pos"])
+    return L.with_candidates(df, text, runs(text), index, how).withColumn("_found", F.sort_array("_found"))
+
+
+def _whole_words(text: str) -> Column:
+    """Those of `_found` that are whole words of the text."""
+    folded = K.fold_token(text)
+    return X.bind(folded, lambda hay: F.filter("_found", lambda f: hay.contains(f["hay"]) & F.rlike(text, f["pattern"])))
 
 
 def assign_labels(
@@ -235,10 +261,11 @@ def assign_labels(
         found = df.withColumn("_folded", K.fold_case(text)).withColumn(
             "_found", K.found_labels(text, pairs, F.col("_folded")))
         return found.withColumn("labels", K.label_list("_found", other)).drop("_folded", "_found")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "label")))
-    found = match_keywords(df, kwmap, text, key).groupBy(*key).agg(
-        F.transform(ordered, lambda e: e["label"]).alias("labels"))
-    return df.join(found, key, "left").withColumn("labels", F.coalesce("labels", F.array(F.lit(other))))
+    found = _with_keywords(df, keyword_frame(df.sparkSession, kwmap), text)
+    labels = F.transform(_whole_words(text), lambda f: f["label"])
+    some = found.withColumn("labels", F.coalesce(labels, F.array().cast("array<string>")))
+    return some.withColumn("labels", F.when(F.size("labels") == 0, F.array(F.lit(other))).otherwise(F.col("labels"))
+                           ).drop("_found")
 
 
 def first_label(df: DataFrame, other: str = K.OTHER) -> DataFrame:
@@ -291,24 +318,24 @@ def _own_keywords(df: DataFrame, pairs: list[tuple[str, str]], default: Column,
     return default if out is None else out.otherwise(default)
 
 
-def _with_own_patterns(df: DataFrame, kwmap: DataFrame, text: str, key: list[str]) -> DataFrame:
+def _with_own_patterns(df: DataFrame, kwmap: DataFrame, text: str) -> DataFrame:
     """Add `_patterns`, patterns of the row's own keywords in map order, for maps too large
     for the projection.
 
-    On normalised text only the keywords found in the row are fetched, by the n-gram join.
-    Hiding one leaves its spaces, so it cannot make another one match.
+    Removing whole words makes no new runs of word characters, so a keyword that is no candidate now
+    is none later. Only a keyword with another character at an end can join two runs when it goes; the labels
+    that have one, if any, bring all their keywords.
     """
-    empty = F.array().cast("array<string>")
-    if text == "norm" and "tokens" in df.columns:
-        own = df.select(*key, F.col("label").alias("_own"))
-        found = _match_grams(df, kwmap, key).join(own, key).filter(F.col("label") == F.col("_own"))
-        ordered = F.array_sort(F.collect_list(F.struct("pos", K.pattern_column("keyword").alias("p"))))
-        patterns = found.groupBy(*key).agg(F.transform(ordered, lambda e: e["p"]).alias("_patterns"))
-        joined = df.join(patterns, key, "left")
-    else:
-        table = keywords_per_label(kwmap.withColumn("keyword", K.pattern_column("keyword")))
-        joined = df.join(small_table(table.withColumnRenamed("keywords", "_patterns")), "label", "left")
-    return joined.withColumn("_patterns", F.coalesce("_patterns", empty))
+    keyword = F.col("keyword")
+    edge = ~(keyword.rlike(f"^[{X.WORD_CHARS}]") & keyword.rlike(f"[{X.WORD_CHARS}]$"))
+    whole = kwmap.join(kwmap.where(edge).select("label").distinct(), "label", "left_semi")
+    found = _with_keywords(df, kwmap, text)
+    own = F.transform(F.filter("_found", lambda f: f["label"] == F.col("label")), lambda f: f["pattern"])
+    if whole.limit(1).count():
+        lists = keywords_per_label(whole.withColumn("keyword", K.pattern_column("keyword")))
+        found = found.join(small_table(lists.withColumnRenamed("keywords", "_whole")), "label", "left")
+        own = F.coalesce("_whole", own)
+    return found.withColumn("_patterns", F.coalesce(own, F.array().cast("array<string>")))
 
 
 def hide_own_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: list[str] = KEY) -> DataFrame:
@@ -317,7 +344,7 @@ def hide_own_keywords(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key:
     if pairs is not None:
         return df.withColumn(
             text, _own_keywords(df, pairs, F.col(text), lambda words: K.hide_keywords(text, words)))
-    joined = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap), text, key)
+    joined = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap), text)
     hidden = F.aggregate("_patterns", F.col(text), lambda t, p: F.regexp_replace(t, p, F.lit("")))
     return joined.withColumn(text, hidden).select(*df.columns)
 
@@ -328,7 +355,7 @@ def count_removed(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: lis
     if pairs is not None:
         n = _own_keywords(df, pairs, F.lit(0), lambda words: K.count_keywords(text, words))
     else:
-        df = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap), text, key)
+        df = _with_own_patterns(df, keyword_frame(df.sparkSession, kwmap), text)
         start = F.struct(F.col(text).alias("rest"), F.lit(0).alias("n"))
         n = F.aggregate(
             "_patterns", start,

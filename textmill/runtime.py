@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # A derived table of at most this many rows is broadcast; a larger one is joined by shuffle.
 SMALL_ROWS = 10_000
+SMALL_BYTES = 64_000_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -37,15 +38,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def small_table(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Evaluate a derived table once so that later plans do not repeat its work.
 
-    Up to `max_rows` rows become a local relation with a broadcast hint. A table that
-    turns out larger is written out and returned without a hint: Spark then shuffles
-    it, and adaptive execution splits skewed partitions.
+    Up to `max_rows` rows of `max_bytes` in all become a local relation with a broadcast hint. A
+    table that turns out larger is written out and returned without a hint: Spark then
+    shuffles it, and adaptive execution splits skewed partitions.
     """
     local = df.limit(max_rows + 1).toArrow()
-    if local.num_rows <= max_rows:
+    if local.num_rows <= max_rows and local.nbytes <= max_bytes:
         return F.broadcast(df.sparkSession.createDataFrame(local, df.schema))
     return materialize(df, "large")
 
