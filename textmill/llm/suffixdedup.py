@@ -17,8 +17,9 @@ suffixes in many tasks, and only those that can have a twin:
    with the node's other members once, and the first difference says where they branch off.
 4. The marked windows return to their blocks, whose bytes are cut.
 
-An anchor with more than `HOT_SLICES` distinct slices would make too large a group. Its windows are sent
-one by one, as 128-bit digests, each to a task of its own; they are exact too, only dearer.
+An anchor with more than `HOT_SLICES` slices, counted once per block, would make too large a group. The earliest of
+each of its windows is found by a Spark aggregation over 128-bit digests, which is combined before
+the shuffle; dearer, but no group is ever gathered.
 
 Documents are ordered by id (null first), then by a hash of the text; rows equal in both are the same
 document and get the same result. Null and empty texts have no bytes. Texts shorter than the window never
@@ -51,8 +52,8 @@ BLOCK_BYTES = 2_000_000
 BLOCK_ROWS = 2_000
 # Windows whose anchors are found at once; their places take the low bits of a hash.
 STRETCH = 1 << 18
-# Bytes of text whose anchors make one counting group.
-SEGMENT_BYTES = 128_000_000
+# Bytes of text whose anchors make one group.
+SEGMENT_BYTES = 64_000_000
 HOT_SLICES = 20_000
 # Suffixes that are sorted at once.
 SORTED_AT_ONCE = 500_000
@@ -246,11 +247,8 @@ def _numbered(anchors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarra
     return distinct[by], place[of]
 
 
-def anchor_codes(blocks: DataFrame, window: int, segment_bytes: int, hot_slices: int) -> tuple[DataFrame, int]:
+def anchor_codes(blocks: DataFrame, segments: int, window: int, hot_slices: int) -> DataFrame:
     """`block, codes`: for the block's distinct anchors, by segment, 0 (met once), 1 (repeated) or 2 (hot)."""
-    segments = 1 + (blocks.agg(F.sum("n_bytes")).first()[0] or 0) // segment_bytes
-    segments = max(segments, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for number, text, ends in zip(*(batch.column(c) for c in ("block", "text", "ends"))):
@@ -277,62 +275,118 @@ def anchor_codes(blocks: DataFrame, window: int, segment_bytes: int, hot_slices:
         code = (repeated.astype(np.uint8) + (n > hot_slices))[of]
         ends = np.cumsum([len(a) for a in sent])
         return pa.table({"block": table.column("block"), "segment": table.column("segment"),
-                         "codes": pa.array([c.tobytes() for c in np.split(code, ends[:-1])], pa.binary())})
+                         "codes": pa.array([c.tobytes() for c in np.split(code, ends[:-1])], pa.binary()),
+                         "hot": pa.array([bool((c == 2).any()) for c in np.split(code, ends[:-1])])})
 
     codes = (in_batches(blocks.select("block", "text", "ends"), send,
                         "segment long, block long, anchors binary, slices binary")
-             .groupBy("segment").applyInArrow(count, "block long, segment long, codes binary"))
-    return codes.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("segment", "codes"))).alias("codes")), segments
+             .groupBy("segment").applyInArrow(count, "block long, segment long, codes binary, hot boolean"))
+    return materialize(codes.groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("segment", "codes"))).alias("codes"), F.bool_or("hot").alias("hot")), "codes")
+
+
+ENTRY = pa.schema([("anchor", pa.uint64()), ("has_id", pa.bool_()), ("id", pa.int64()), ("tie", pa.int64()),
+                   ("at", pa.int64()), ("off", pa.int16()), ("first", pa.binary()), ("rest", pa.binary()),
+                   ("slice", pa.binary())])
+ORDER = ["has_id", "id", "tie", "at"]
+
+
+def _bearers(batches: Iterator[pa.RecordBatch], segments: int, window: int, wanted: int) -> Iterator[tuple]:
+    """For each block with its codes: number, padded text, who precedes whom, and the runs of anchors with that code."""
+    for batch in batches:
+        for row in zip(*(batch.column(c) for c in ("block", "ids", "text", "ends", "codes"))):
+            number, ids, text, ends, parts = (c.as_py() for c in row)
+            buf, stops = _open(text, ends)
+            anchors, at, first, last = anchor_runs(buf, stops, window)
+            code = np.frombuffer(b"".join(p["codes"] for p in parts), np.uint8)[_numbered(anchors, segments)[1]]
+            some = np.flatnonzero(code == wanted)
+            if len(some):
+                begin = np.concatenate([[0], stops])
+                docs = [(i is not None, i or 0, xxhash.xxh3_64_intdigest(buf[a:b]) - (1 << 63))
+                        for i, a, b in zip(ids, begin.tolist(), stops.tolist())]
+                of = np.searchsorted(stops, first[some], "right")
+                yield number, buf, zip(*(x.tolist() for x in (anchors[some], at[some], first[some], last[some])),
+                                       map(docs.__getitem__, of.tolist()), begin[of].tolist())
 
 
-SLICE = ("anchor long, has_id boolean, id long, tie long, at long, off int, depth int, block long, first binary, "
-         "rest binary, slice binary")
+class Found:
+    """Equal strings of a block: who has the string first (in document order), and where else it is."""
+
+    def __init__(self):
+        self.of: dict = {}
+
+    def add(self, key, order: tuple, off: int, start: int) -> None:
+        old = self.of.get(key)
+        if old is None:
+            self.of[key] = [order, off, [start], []]
+        elif order == old[0]:
+            old[2].append(start)
+        elif order > old[0]:
+            old[3].append(start)
+        else:
+            old[3] += old[2]
+            old[0], old[2] = order, [start]
+
+    def columns(self) -> dict[str, list]:
+        entries = list(self.of.values())
+        return {**{c: [e[0][i] for e in entries] for i, c in enumerate(ORDER)}, "off": [e[1] for e in entries],
+                "first": [np.array(e[2], "<i8").tobytes() for e in entries],
+                "rest": [np.array(e[3], "<i8").tobytes() for e in entries]}
 
 
 def repeated_slices(blocks: DataFrame, codes: DataFrame, segments: int, window: int) -> DataFrame:
-    """The text around repeated anchors, once per block: who has it first, and where else it is."""
+    """`segment, block, entries`: the text around repeated anchors, once per block, compressed by segment."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for number, buf, runs in _bearers(batches, segments, window, 1):
+            found = Found()
+            for h, p, s, e, doc, begin in runs:
+                found.add((h, buf[s:e + window]), (*doc, p - begin), p - s, s)
+            keys = list(found.of)
+            table = pa.table({"anchor": [k[0] for k in keys], **found.columns(), "slice": [k[1] for k in keys]}, ENTRY)
+            part = np.array([k[0] for k in keys], _U) % _U(segments)
+            by = np.argsort(part, kind="stable")
+            part = part[by].astype(np.int64)
+            cut = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+            entries = []
+            for a, b in zip(cut, cut[1:]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema, options=options) as out:
+                    out.write_table(table.take(by[a:b]).combine_chunks())
+                entries.append(sink.getvalue().to_pybytes())
+            yield {"segment": part[cut[:-1]], "block": [number] * len(entries), "entries": entries}
+
+    return in_batches(blocks.select("block", "ids", "text", "ends").join(codes, "block"), work,
+                      "segment long, block long, entries binary")
+
+
+def late_hot_windows(blocks: DataFrame, codes: DataFrame, segments: int, window: int) -> DataFrame:
+    """`block, marks` for the windows of hot anchors, by Spark's own aggregation over their digests."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for number, buf, runs in _bearers(batches, segments, window, 2):
+            found = Found()
+            for _, _, s, e, doc, begin in runs:
+                for k in range(s, e + 1):
+                    found.add(xxhash.xxh3_128_digest(buf[k:k + window]), (*doc, k - begin), 0, k)
+            columns = found.columns()
+            del columns["off"]
+            yield {"digest": list(found.of), "block": [number] * len(found.of), **columns}
+
+    rows = materialize(in_batches(
+        blocks.select("block", "ids", "text", "ends").join(codes, "block"), work,
+        "digest binary, block long, has_id boolean, id long, tie long, at long, first binary, rest binary"), "hot")
+    order = F.struct(*ORDER)
+    least = rows.groupBy("digest").agg(F.min(order).alias("least"))
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for row in zip(*(batch.column(c) for c in ("block", "ids", "text", "ends", "codes"))):
-                number, ids, text, ends, parts = (c.as_py() for c in row)
-                buf, stops = _open(text, ends)
-                anchors, at, first, last = anchor_runs(buf, stops, window)
-                code = np.frombuffer(b"".join(p["codes"] for p in parts), np.uint8)[_numbered(anchors, segments)[1]]
-                docs = [(i is not None, i or 0, xxhash.xxh3_64_intdigest(buf[a:b]) - (1 << 63))
-                        for i, a, b in zip(ids, [0, *stops.tolist()], stops.tolist())]
-                begin = np.concatenate([[0], stops])
-                of = np.searchsorted(stops, first, "right")
-                found: dict[tuple, list] = {}
-
-                def add(anchor: int, piece: bytes, order: tuple, off: int, depth: int, start: int) -> None:
-                    old = found.get((anchor, piece))
-                    if old is None:
-                        found[anchor, piece] = [order, off, depth, [start], []]
-                    elif order == old[0]:
-                        old[3].append(start)
-                    elif order > old[0]:
-                        old[4].append(start)
-                    else:
-                        old[4] += old[3]
-                        old[0], old[3] = order, [start]
-
-                some = np.flatnonzero(code)
-                for h, p, s, e, d, b, c in zip(*(x[some].tolist() for x in (
-                        anchors.view(np.int64), at, first, last, of, begin[of], code))):
-                    if c == 1:
-                        add(h, buf[s:e + window], (*docs[d], p - b), p - s, window, s)
-                    else:
-                        for k in range(s, e + 1):
-                            digest = xxhash.xxh3_128_digest(buf[k:k + window])
-                            add(int.from_bytes(digest[:8], "little", signed=True), digest, (*docs[d], k - b), 0, len(digest), k)
-                keys, entries = list(found), list(found.values())
-                yield {"anchor": [k[0] for k in keys], "slice": [k[1] for k in keys],
-                       **{c: [e[0][i] for e in entries] for i, c in enumerate(("has_id", "id", "tie", "at"))},
-                       "off": [e[1] for e in entries], "depth": [e[2] for e in entries], "block": [number] * len(keys),
-                       "first": [np.array(e[3], "<i8").tobytes() for e in entries],
-                       "rest": [np.array(e[4], "<i8").tobytes() for e in entries]}
-
-    return in_batches(blocks.select("block", "ids", "text", "ends").join(codes, "block"), work, SLICE)
+            marks = Marks()
+            for block, late, first, rest in zip(*(c.to_pylist() for c in batch.columns)):
+                marks.add(block, rest + first if late else rest, 0, 1)
+            yield marks.take()
+
+    late = rows.join(least, "digest").select("block", (order > F.col("least")).alias("late"), "first", "rest")
+    return in_batches(late, ranges, "block long, marks binary")
 
 
 class Marks:
@@ -363,22 +417,21 @@ class Sorter:
         self.pieces, self.info, self.bearers, self.size, self.anchors = [], [], [], 0, 0
 
     def anchor(self, entries: list[tuple]) -> None:
-        """All entries (order, off, depth, block, first, rest, slice) of an anchor, in order."""
+        """All entries (order, off, block, first, rest, slice) of an anchor, in order."""
         found: dict[bytes, tuple] = {}
         rank, before = 0, None
-        for order, off, depth, block, first, rest, piece in entries:
+        for order, off, block, first, rest, piece in entries:
             rank += order != before
             before = order
-            n = len(piece) - depth + 1
+            n = len(piece) - self.window + 1
             self.marks.add(block, rest, 0, n)
-            old = found.setdefault(piece, (rank, off, n, depth, []))
+            old = found.setdefault(piece, (rank, off, n, []))
             if old[0] == rank:
-                old[4].append((block, first))
+                old[3].append((block, first))
             else:
                 self.marks.add(block, first, 0, n)
-        slices = [(p, f) for p, f in found.items() if f[3] == self.window]
-        if len(slices) > 1:
-            for piece, (rank, off, n, _, bearers) in slices:
+        if len(found) > 1:
+            for piece, (rank, off, n, bearers) in found.items():
                 self.pieces.append(piece)
                 self.info.append((self.anchors, rank, off, n))
                 self.bearers.append(bearers)
@@ -412,25 +465,28 @@ class Sorter:
 
 def late_windows(slices: DataFrame, window: int) -> DataFrame:
     """`block, marks`: ranges of the starts of windows that also start earlier."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def work(table: pa.Table) -> pa.Table:
+        # The entries of a segment, whose size is bounded; only some rows at a time become Python objects.
+        parts = [pa.ipc.open_stream(e.as_py()).read_all() for e in table.column("entries")]
+        block = np.repeat(table.column("block").to_numpy(), [p.num_rows for p in parts])
+        all_ = pa.concat_tables(parts).append_column("block", pa.array(block, pa.int64()))
+        all_ = all_.sort_by([(c, "ascending") for c in ("anchor", *ORDER)])
         marks = Marks()
         sorter, held, entries = Sorter(marks, window), None, []
-        for batch in batches:
+        for batch in all_.to_batches(max_chunksize=5_000):
             columns = {c: batch.column(c).to_pylist() for c in batch.schema.names}
-            for anchor, *entry in zip(columns["anchor"], zip(*(columns[c] for c in ("has_id", "id", "tie", "at"))),
-                                      *(columns[c] for c in ("off", "depth", "block", "first", "rest", "slice"))):
+            for anchor, *entry in zip(columns["anchor"], zip(*(columns[c] for c in ORDER)),
+                                      *(columns[c] for c in ("off", "block", "first", "rest", "slice"))):
                 if anchor != held:
                     sorter.anchor(entries)
                     held, entries = anchor, []
                 entries.append(tuple(entry))
-            if len(marks.of) >= 10_000:
-                yield marks.take()
         sorter.anchor(entries)
         sorter.sort()
-        yield marks.take()
+        out = marks.take()
+        return pa.table({"block": pa.array(out["block"], pa.int64()), "marks": pa.array(out["marks"], pa.binary())})
 
-    dealt = slices.repartition("anchor").sortWithinPartitions("anchor", "has_id", "id", "tie", "at")
-    return in_batches(dealt, work, "block long, marks binary")
+    return slices.groupBy("segment").applyInArrow(work, "block long, marks binary")
 
 
 def cut_blocks(blocks: DataFrame, marks: DataFrame, schema: T.StructType, window: int) -> DataFrame:
@@ -472,8 +528,14 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
         raise ValueError(f"the window must have {2 * GRAM} bytes or more")
     keep = [doc_id] if keep is None else keep
     blocks = write_blocks(docs, doc_id, text, keep, block_bytes)
-    codes, segments = anchor_codes(blocks, window, segment_bytes, hot_slices)
-    marks = materialize(late_windows(repeated_slices(blocks, codes, segments, window), window), "marks")
+    segments = 1 + (blocks.agg(F.sum("n_bytes")).first()[0] or 0) // segment_bytes
+    segments = max(segments, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    codes = anchor_codes(blocks, segments, window, hot_slices)
+    marks = late_windows(repeated_slices(blocks, codes.drop("hot"), segments, window), window)
+    hot = codes.where("hot").drop("hot")
+    if hot.limit(1).count():
+        marks = marks.unionByName(late_hot_windows(blocks, hot, segments, window))
+    marks = materialize(marks, "marks")
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
