@@ -5,8 +5,9 @@
 2. In a second pass, every document's terms fold into a sketch of `SKETCH` coordinates: a term
    goes to the coordinate of its hash, which keeps the largest impact that comes to it.
    Impacts grow with the term's frequency, so the largest frequency is folded and turned into an impact once.
-3. The queries of the block are looked up in all sketches of a batch by one matrix product:
-   the sum of a query's weights times the sketch is never below the document's score.
+3. The queries of the block are looked up in all sketches of a batch at once: the sum of a
+   query's weights times the sketch is never below the document's score. Coordinates that
+   no query of the block looks up are not kept.
 4. Per query, the documents of a batch are scored exactly in descending order of that bound, until
    it falls below the `k`-th best score that the task has found so far. The best `k`
    of each task are merged by Spark, in two salted rounds.
@@ -43,11 +44,11 @@ from textmill.llm.common import in_batches
 from textmill.operators.ranking import top_per_group
 from textmill.runtime import materialize
 
-SKETCH = 1024
+SKETCH = 1 << 14
 TOP = 50
 # A block of queries ends at either number.
 BLOCK_QUERIES = 1_000
-BLOCK_TERMS = 100_000
+BLOCK_TERMS = 20_000
 # Terms whose coordinate a worker remembers; the table is started anew when full.
 KNOWN_TERMS = 200_000
 # Digits, letters and all bytes above ASCII make terms; the rest separates them.
@@ -77,13 +78,13 @@ class Block:
         self.queries = [[(t, weight[t]) for t in q if t in weight] for q in self.queries]
         self.wanted = frozenset()
 
-    def lookups(self, size: int) -> np.ndarray:
-        """Per query and coordinate, the weights of the query's terms there."""
-        out = np.zeros((len(self.queries), size))
-        for i, q in enumerate(self.queries):
-            for t, w in q:
-                out[i, zlib.crc32(t) % size] += w
-        return out
+    def lookups(self, size: int) -> tuple[dict[int, int], list[tuple[np.ndarray, np.ndarray]]]:
+        """The coordinates that are looked up, numbered, and for each query their numbers and weights."""
+        number, out = {}, []
+        for q in self.queries:
+            at = [number.setdefault(zlib.crc32(t) % size, len(number)) for t, _ in q]
+            out.append((np.array(at, np.int64), np.array([[w] for _, w in q], float)))
+        return number, out
 
     def norm(self, n: int) -> int:
         return 100 - 50 + 50 * n * self.n_docs // self.n_terms
@@ -111,31 +112,34 @@ def statistics(docs: DataFrame, block: Block) -> tuple[dict[bytes, int], int, in
 
 
 class Sketches:
-    """Max-sketches of batches of documents."""
+    """Max-sketches of batches of documents; only coordinates in `number` are kept."""
 
-    def __init__(self, size: int):
-        self.size, self.place = size, {}
+    def __init__(self, size: int, number: dict[int, int]):
+        self.size, self.number, self.place = size, number, {}
 
     def fold(self, counts: list[Counter], norms: np.ndarray) -> np.ndarray:
-        most = np.zeros((len(counts), self.size), np.int64)
-        for row, c in zip(most, counts):
-            missing = c.keys() - self.place.keys()
+        """One row per coordinate, one column per document."""
+        most = np.zeros((len(self.number) + 1, len(counts)), np.int64)
+        for d, c in enumerate(counts):
+            missing = [t for t in c if t not in self.place]
             if missing:
                 if len(self.place) + len(missing) > KNOWN_TERMS:
                     self.place.clear()
-                    missing = c.keys()
-                self.place.update((t, zlib.crc32(t) % self.size) for t in missing)
+                    missing = list(c)
+                # The last row takes what no query looks up.
+                self.place.update((t, self.number.get(zlib.crc32(t) % self.size, -1)) for t in missing)
             at = np.fromiter(map(self.place.__getitem__, c), np.int64, len(c))
-            np.maximum.at(row, at, np.fromiter(c.values(), np.int64, len(c)))
-        return impact(most, norms[:, None])
+            kept = np.flatnonzero(at >= 0)
+            np.maximum.at(most[:, d], at[kept], np.fromiter(c.values(), np.int64, len(c))[kept])
+        return impact(most[:-1], norms).astype(np.int32)
 
 
 def best_of_task(batches: Iterator[pa.RecordBatch], block: Block, k: int, size: int) -> Iterator[dict]:
     """The `k` best documents (or all, if fewer) of each query among a task's documents."""
-    lookups, sketches = block.lookups(size), Sketches(size)
+    number, lookups = block.lookups(size)
+    sketches = Sketches(size, number)
     # Heaps of (score, id is null, -id, id): the smallest entry is the one to be replaced.
     found: list[list[tuple]] = [[] for _ in block.queries]
-    least = np.ones(len(found))
     for batch in batches:
         ids, counts = [], []
         for i, t in zip(batch.column("_id").to_pylist(), batch.column("_text").cast(pa.binary())):
@@ -145,15 +149,18 @@ def best_of_task(batches: Iterator[pa.RecordBatch], block: Block, k: int, size:
         if not ids:
             continue
         norms = [block.norm(c.total()) for c in counts]
-        # Products of whole numbers; the margin covers rounding in very long queries.
-        upper = lookups @ sketches.fold(counts, np.array(norms, np.int64)).T.astype(float) * (1 + 1e-9)
-        for q in np.flatnonzero((upper >= least[:, None]).any(axis=1)).tolist():
+        folded = sketches.fold(counts, np.array(norms, np.int64))
+        for q, (at, weights) in enumerate(lookups):
             heap = found[q]
-            for d in np.argsort(-upper[q], kind="stable").tolist():
-                if upper[q, d] < least[q]:
+            least = heap[0][0] if len(heap) == k else 1
+            # Products of whole numbers; the margin covers rounding in very long queries.
+            upper = (folded[at] * weights).sum(axis=0) * (1 + 1e-9)
+            hopeful = np.flatnonzero(upper >= least)
+            for d in hopeful[np.argsort(-upper[hopeful], kind="stable")].tolist():
+                if upper[d] < least:
                     break
                 c, m = counts[d], norms[d]
-                score = sum(w * impact(c[t], m) for t, w in block.queries[q] if t in c)
+                score = sum([w * impact(c[t], m) for t, w in block.queries[q] if t in c])
                 if score > 0:
                     entry = (score, ids[d] is None, -(ids[d] or 0), ids[d])
                     if len(heap) < k:
@@ -161,7 +168,7 @@ def best_of_task(batches: Iterator[pa.RecordBatch], block: Block, k: int, size:
                     elif entry[:3] > heap[0][:3]:
                         heapq.heapreplace(heap, entry)
                     if len(heap) == k:
-                        least[q] = heap[0][0]
+                        least = heap[0][0]
     for q, heap in enumerate(found):
         if heap:
             yield {"_query": [q] * len(heap), "doc_id": [e[3] for e in heap], "score": [e[0] for e in heap]}
