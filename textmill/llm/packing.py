@@ -98,7 +98,7 @@ class WordIds:
         """The ids of each text of an array without nulls."""
         split = [t.split() for t in texts.cast(pa.binary()).to_pylist()]
         distinct = set().union(*split)
-        if missing := distinct - self.table.keys():
+        if missing := distinct.difference(self.table):
             if len(self.table) + len(missing) > CACHE_WORDS:
                 self.table.clear()
                 missing = distinct
