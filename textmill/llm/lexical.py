@@ -83,7 +83,7 @@ class Block:
         number, out = {}, []
         for q in self.queries:
             at = [number.setdefault(zlib.crc32(t) % size, len(number)) for t, _ in q]
-            out.append((np.array(at, np.int64), np.array([[w] for _, w in q], float)))
+            out.append((np.array(at, np.int64), np.array([w for _, w in q], float).reshape(-1, 1)))
         return number, out
 
     def norm(self, n: int) -> int:
