@@ -439,6 +439,8 @@ def oracles() -> dict[str, str]:
     q["lines_source"] = sql("SELECT value FROM lines", ["lines"], SCORING)
     q["string_array_source"] = f"""SELECT item_id, CAST(unnest(range(len(p))) AS INTEGER) AS idx, unnest(p) AS value
         FROM (SELECT item_id, {split_text('text')} AS p FROM benchmark)"""
+    q["string_array_one_file"] = """SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS INTEGER) AS idx, text AS value
+        FROM conversations"""
     q["label_array_source"] = f"""SELECT item_id, idx, array_to_string({words2('value')}, '|') AS labels
         FROM ({q['string_array_source']})"""
     q["keyword_map_source"] = sql("SELECT pos, keyword, label FROM kwvoc", ["kwvoc"])

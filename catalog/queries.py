@@ -669,6 +669,21 @@ def string_array_source(spark, sf):
     return R.read_string_array(spark, f"{path}/*").select(_item_file(), "idx", "value")
 
 
+@query
+def string_array_one_file(spark, sf):
+    """One JSON array in one file, holding every turn of every conversation."""
+    path = scratch_path(spark, "array")
+    turns = table(spark, sf, "conversations", "conv_id", "turn", "text")
+    ends = turns.agg(F.min(F.struct("conv_id", "turn")).alias("first"), F.max(F.struct("conv_id", "turn")).alias("last"))
+    here = F.struct("conv_id", "turn")
+    # The file must be written by one task; it is read by many.
+    line = F.concat(F.when(here == F.col("first"), "[").otherwise(""), F.substring(F.to_json(F.array("text")), 2, 1 << 30))
+    line = F.concat(F.regexp_replace(line, r"\]$", ""), F.when(here == F.col("last"), "]").otherwise(","))
+    (turns.join(F.broadcast(ends)).select("conv_id", "turn", line.alias("value"))
+     .repartition(1).sortWithinPartitions("conv_id", "turn").select("value").write.text(path))
+    return R.read_string_array(spark, path).select("idx", "value")
+
+
 @query
 def label_array_source(spark, sf):
     """One JSON array file per benchmark item, holding the word list of each sentence."""

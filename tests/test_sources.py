@@ -31,6 +31,42 @@ def test_json_arrays(spark, tmp_path):
     assert [tuple(r) for r in got] == [("1", "Text.", ["A"]), ("2", None, [])]
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    """Files are split every few bytes."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    yield lambda n: (spark.conf.set("spark.sql.files.maxPartitionBytes", n), spark.conf.set("spark.sql.files.openCostInBytes", 0))
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
+HARD = ["", ",", "a,b", '"', '",", [', "[", "]", "]],[[", "\\", 'x\\"', "\\,", "{é,}", "日本,\n語", "😀, ", None, "a" * 90, "1,2,3" * 20, "end"]
+
+
+@pytest.mark.parametrize("size", [11, 1000])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_one_array_over_many_tasks(spark, tmp_path, tiny_splits, size, indent):
+    strings = HARD * 2
+    lists = [HARD[:i % 5] for i in range(20)] + [[], ["]", ",["], []]
+    for name, value in (("s", strings), ("l", lists), ("e", [])):
+        (tmp_path / f"{name}.json").write_text(json.dumps(value, ensure_ascii=indent is None, indent=indent), encoding="utf-8")
+    tiny_splits(size)
+    got = R.read_string_array(spark, str(tmp_path / "s.json")).orderBy("idx").collect()
+    assert [(r.idx, r.value) for r in got] == list(enumerate(strings))
+    got = R.read_label_array(spark, str(tmp_path / "l.json")).orderBy("idx").collect()
+    assert [(r.idx, r.labels) for r in got] == list(enumerate(lists))
+    both = R.read_string_array(spark, [str(tmp_path / "s.json"), str(tmp_path / "e.json")])
+    assert both.count() == len(strings)
+
+
+@pytest.mark.parametrize("text", ['["a", "b"', '["a",, "b"]', '["a", ]', '{"a": 1}', '["a"]]', '["a" "b"]', '"a"', '["a", {"b": 1]'])
+def test_broken_array_fails(spark, tmp_path, tiny_splits, text):
+    (tmp_path / "b.json").write_text(text)
+    tiny_splits(5)
+    with pytest.raises(Exception):
+        R.read_string_array(spark, str(tmp_path / "b.json")).collect()
+
+
 def test_lines_are_trimmed_and_blank_ones_dropped(spark, tmp_path):
     (tmp_path / "t.txt").write_text("  a b \n\n\t \nc" + chr(0xA0) + "\n", encoding="utf-8")
     assert [r.value for r in R.read_lines(spark, str(tmp_path / "t.txt")).collect()] == ["a b", "c"]

@@ -1,8 +1,8 @@
 """Readers for the file formats of the text pipeline.
 
-A JSON array or object in one file is parsed as one row, so it suits maps and files of
-moderate size; `path` may name a folder of such files, which are then read in parallel.
-Large corpora belong in Parquet or JSON lines.
+A keyword map, a JSON object in one file, is parsed as one row. Arrays of strings or of label lists
+are split within a file (see `json_arrays`). An array of records is read by one task per
+file; large ones belong in Parquet or JSON lines.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import plain_text, trim_space
 from textmill.schemas import ABSTRACTS
+from textmill.sources.json_arrays import array_elements
 
 
 def _whole(spark: SparkSession, path: str, type_ddl: str) -> DataFrame:
@@ -42,14 +43,14 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
 
 
 def read_string_array(spark: SparkSession, path: str) -> DataFrame:
-    """(file, idx, value) from JSON arrays of strings; `idx` is the place in the file."""
-    return _whole(spark, path, "array<string>").select("file", F.posexplode("parsed").alias("idx", "value"))
+    """(file, idx, value) from JSON arrays of strings; `idx` is the place in the file. A large file is
+    read by many tasks."""
+    return array_elements(spark, path, "string")
 
 
 def read_label_array(spark: SparkSession, path: str) -> DataFrame:
-    """(file, idx, labels) from JSON arrays of string arrays."""
-    return _whole(spark, path, "array<array<string>>").select(
-        "file", F.posexplode("parsed").alias("idx", "labels"))
+    """(file, idx, labels) from JSON arrays of string arrays. A large file is read by many tasks."""
+    return array_elements(spark, path, "array<string>").withColumnRenamed("value", "labels")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
