@@ -67,6 +67,18 @@ def test_near_duplicates(docs, texts):
     same(jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect(), expected)
 
 
+def test_keep_one_goes_by_text(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(5, a, 1), (30, a, 2), (30, b, 3), (40, c, 4), (40, d, 5), (40, d, 5), (50, c + " end", 6), (None, d, 7), (None, "x y", 8),
+            (60, "", 9), (60, "", 9), (70, None, 1), (80, a + "\n", 2), (90, " ".join(b.split()[:20]), 3), (5, a + "\n", 0), (40, d, 4)]
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string, h int")).collect()
+    got = sorted((str(r.doc_id), (r.text or "")[:2], r.h) for r in got)
+    ends = [g for g in got if g[0] == "5"]
+    assert len(ends) == 1 and ends[0][1] == "a0"
+    assert [g for g in got if g[0] != "5"] == sorted(
+        [("30", "b0", 3), ("40", "c0", 4), ("40", "d0", 4), ("60", "", 9), ("60", "", 9), ("70", "", 1), ("90", "b0", 3), ("None", "x ", 8)])
+
+
 @pytest.mark.parametrize("sizes", [(40, 40), (20, 26), (7, 8)])
 def test_signatures_never_exclude_a_link(sizes):
     rng = np.random.default_rng(3)

@@ -29,6 +29,17 @@ def test_extract_text(spark):
     assert htmltext.extract_text(empty).count() == 0
 
 
+def test_parts_of_an_article_stay():
+    def text(body):
+        return htmltext.main_text(htmltext.parse(f"<body><div class=related><p>More</div>{body}</body>"))
+    long, short = "<article><p>" + "long " * 100 + "</article>", "<article><h2>Short</h2><p>one</article>"
+    assert text(long + short) == ("long " * 100).strip() + "\nShort\none"
+    assert text("<article><p>a<section id=discussion><h2>Discussion</h2><p>b</section><div class='related-work'><p>c</div>"
+                "</article>") == "a\nDiscussion\nb\nc"
+    assert text("<article><p>a<div class=related-posts><ul><li><a>x</a></ul></div><div class='discussion comments'><p>b</div>"
+                "<div class=advert><p>c</div></article>") == "a"
+
+
 def brute(rows, wanted, k=5):
     good = {i: np.array(v, float) for i, v in rows if i is not None and v is not None and None not in v
             and len(v) == 8 and np.isfinite(np.array(v, float)).all() and any(v)}

@@ -7,7 +7,7 @@
 3. Subtrees on at least `min_pages` pages and on a share of at least `min_share` of the
    host's pages are the host's template and are deleted (paragraphs of an article stay), and
    so is what its markup names as menu, header, footer, sidebar, notice, advert, form, script, style or comments.
-4. What remains inside the article (else the main part, else the body) is the text: one
+4. What remains inside the article or articles (else the main part, else the body) is the text: one
    line per block, white space inside a block as one blank.
 
 Null or empty html gives an empty text. Pages without a host (null or malformed url) are
@@ -32,8 +32,6 @@ from textmill.runtime import materialize
 
 MIN_PAGES = 5
 MIN_SHARE = 0.2
-# A page whose article is not the only one keeps articles of at least this share of the largest one's text.
-ARTICLE_SHARE = 0.25
 
 RAW = "script style noscript template textarea title iframe svg math select object".split()
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +44,9 @@ DROPPED_NAMES = frozenset("""ad ads advert adverts advertisement advertising ads
 cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup login sidebar widget menu
 nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead topbar comment comments disqus reply
 replies respond discussion related recommended share sharing social toolbar""".split())
+# Of these, words that an author may use for a part of the article. Inside it, a part so named goes only if it has no
+# paragraph, or is named as reader comments as well.
+AUTHORED_NAMES = frozenset("discussion related recommended menu social promotion widget".split())
 # Elements that end an open element of the same group when they begin.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -60,22 +61,25 @@ _NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "cls", "rule", "kids", "size", "core", "hash", "heading")
+    __slots__ = ("tag", "cls", "rule", "kids", "size", "core", "hash", "heading", "prose")
 
     def __init__(self, tag: str, cls: str = "", rule: str = ""):
         self.tag, self.cls, self.rule = tag, cls, rule
         self.kids: list[Node | str] = []
-        self.size, self.core, self.hash, self.heading = 0, False, 0, tag in HEADINGS
+        self.size, self.core, self.hash, self.heading, self.prose = 0, False, 0, tag in HEADINGS, False
 
 
 def _named(names: str) -> str:
+    rule = ""
     for name in names.split():
         if name.startswith(("has-", "with-", "no-")):
             continue
         for part in _NAME_PARTS.findall(name):
-            if part.lower() in DROPPED_NAMES:
-                return "header" if part.lower() == "header" else "drop"
-    return ""
+            if (word := part.lower()) in DROPPED_NAMES:
+                if word not in AUTHORED_NAMES:
+                    return "header" if word == "header" else "drop"
+                rule = "authored"
+    return rule
 
 
 def _open(tag: str, attributes: str) -> Node:
@@ -102,6 +106,7 @@ def parse(html: str) -> Node:
         up.size += node.size
         up.core |= node.core or node.tag in ("article", "main")
         up.heading |= node.heading
+        up.prose |= node.prose or node.tag == "p" and node.size > 0
         if node.size:
             x = xxhash.xxh3_64(f"{node.tag}\0{node.cls}")
             for k in node.kids:
@@ -152,7 +157,7 @@ def _dropped(node: Node, template: frozenset | set, inside: bool) -> bool:
     """Whether a subtree goes. What holds the article stays; a header inside keeps its headings."""
     if node.core or node.tag in ("article", "main") and not node.rule:
         return False
-    if node.rule == "header" and inside and node.heading:
+    if inside and (node.rule == "header" and node.heading or node.rule == "authored" and node.prose):
         return False
     return bool(node.rule) or node.hash in template and not (inside and node.tag in PROSE)
 
@@ -168,10 +173,7 @@ def _regions(root: Node, template: frozenset | set) -> list[Node]:
             if node.tag == "article":
                 continue
         todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not _dropped(k, template, False)]
-    if found["article"]:
-        largest = max(n.size for n in found["article"])
-        return [n for n in found["article"] if n.size >= ARTICLE_SHARE * largest]
-    return found["main"] or [root]
+    return found["article"] or found["main"] or [root]
 
 
 def main_text(root: Node, template: frozenset | set = frozenset()) -> str:
