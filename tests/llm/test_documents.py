@@ -282,3 +282,12 @@ def test_hash_helpers_agree():
     assert jaccard.class_of(a) == jaccard.class_of(jaccard.shingles("a  B c d E\nf"))
     assert len(jaccard.shingles(None)) == len(jaccard.shingles(" \n")) == 0
     assert hashlib.sha256(a.tobytes()).digest() != hashlib.sha256(jaccard.shingles("a b c d e").tobytes()).digest()
+
+
+def test_most_frequent(spark):
+    from textmill.llm.common import most_frequent
+    table = spark.range(1, 1001).withColumnRenamed("id", "n")
+    for limit in (0, 1, 50, 1000, 5000):
+        got = [r.n for r in most_frequent(table, "n", limit).collect()]
+        assert len(got) <= limit and set(got) == set(range(1001 - len(got), 1001)) and len(got) >= min(1000, limit) * 0.8 - 60
+    assert most_frequent(table.where("false"), "n", 5).count() == 0

@@ -22,6 +22,32 @@ BATCH_ROWS = 500
 SMALL_ROWS = 100_000
 
 
+_HELD: dict = {}
+
+
+def held_by_worker(key: tuple, make: Callable):
+    """`make()`, kept by the Python worker for its next tasks. A worker holds one such object: another key frees it."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
+    """Rows of the highest counts, at most `limit` of them; rows of nearly equal counts stay or go together.
+
+    The cut comes from a histogram of counts on a logarithmic scale, so nothing is sorted.
+    """
+    step = F.floor(F.log2(count) * 8)
+    left, cut = limit, None
+    for r in sorted(df.groupBy(step.alias("step")).count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        cut = r["step"]
+    return df.where(F.lit(False) if cut is None else step >= cut)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -19,10 +19,10 @@ by one. An empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.common import in_batches, numbered
+from textmill.llm.common import held_by_worker, in_batches, numbered
 from textmill.runtime import materialize
 
 LIMIT = 2048
 END_ID = 0
 # Entries of a worker's table of encoded words; it is started anew when full.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 800_000
 # Words of plain letters (here as UTF-8) with plain signs behind them. Case and signs are taken off such a word
 # before it is encoded, since the tokenizer lower-cases and never merges letters with signs.
 _PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?*#$%|]*)")
@@ -108,10 +108,10 @@ class WordIds:
         return [b"".join(map(own.__getitem__, words)) for words in split]
 
 
-@lru_cache(1)
 def word_ids(tokenizer: str) -> WordIds:
-    """One table per Python worker, which serves many tasks."""
-    return WordIds(tokenizer)
+    """One table per Python worker, which serves many tasks. The tokenizer's own threads stay off: Spark runs a task per core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return held_by_worker(("word ids", tokenizer), lambda: WordIds(tokenizer))
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None,

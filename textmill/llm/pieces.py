@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.common import in_batches
+from textmill.llm.common import in_batches, most_frequent
 from textmill.runtime import materialize
 
 MARK = "▁"
@@ -200,8 +200,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     rows = docs.select(*keep, F.col(text).alias("_text"))
     if few:
         sent = spark.sparkContext.broadcast(_packed(table.select("unit", "ids").toArrow()))
-        hot = spark.sparkContext.broadcast([r["unit"] for r in table.orderBy(F.desc("n"), "unit").limit(HOT_UNITS)
-                                            .select("unit").collect()])
+        hot = spark.sparkContext.broadcast([r["unit"] for r in most_frequent(table, "n", HOT_UNITS).select("unit").collect()])
     else:
         # Texts with the same hash share a set of units; a unit too many does no harm.
         def own(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -223,7 +222,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
         def look_up(units: set[str]) -> None:
             hashes, starts, ids = sent.value
-            missing = list(units - known.keys())
+            missing = [u for u in units if u not in known]
             at = np.searchsorted(hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, missing), np.uint64, len(missing)))
             known.update((u, ids[starts[i]:starts[i + 1]].tobytes()) for u, i in zip(missing, at))
         if few:

@@ -6,7 +6,7 @@ pieces of a text are the pieces of its pre-tokens:
 1. All distinct pre-tokens of the corpus are gathered with their frequency (combined per task
    before the shuffle), and the pieces of each are counted once by the tokenizer.
 2. The pre-token frequencies of each text meet these counts: the most frequent
-   `HOT_TOKENS` pre-tokens, a bounded table, are summed inside the task; the rare ones are
+   pre-tokens, at most `HOT_TOKENS`, are summed inside the task; the rare ones are
    joined by shuffle, with one row per text and distinct rare pre-token.
 
 Strings of special tokens inside a text count as the library counts them: one token
@@ -16,6 +16,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,16 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.common import in_batches
+from textmill.llm.common import held_by_worker, in_batches, most_frequent
 from textmill.runtime import materialize
 
 # Fixed: the public split pattern of byte-level tokenizers.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Code points whose class does not depend on the Unicode version; texts with others are cut by the library.
 STABLE = r"[\x00-ԀḀ-⁩₠-₿　-鿿가-힣🌀-🗿]*"
-HOT_TOKENS = 150_000
+HOT_TOKENS = 100_000
 # Pre-tokens a task collects before it passes them on.
-FLUSH = 150_000
+FLUSH = 100_000
 
 
 class PreTokens:
@@ -63,10 +64,16 @@ class PreTokens:
         return [len(e) for e in self.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)]
 
 
+def pre_tokens(tokenizer: str) -> PreTokens:
+    """One per Python worker. The tokenizer's own threads, whose memory would add up, stay off: Spark runs a task per core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return held_by_worker(("pre-tokens", tokenizer), lambda: PreTokens(tokenizer))
+
+
 def piece_table(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """`token, n, pieces` of every distinct pre-token of the corpus."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        cut, found = PreTokens(tokenizer), Counter()
+        cut, found = pre_tokens(tokenizer), Counter()
         for batch in batches:
             for t in batch.column(0):
                 found.update(cut.of(t.as_py() or "")[0])
@@ -76,7 +83,7 @@ def piece_table(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFram
         yield {"token": list(found), "n": list(found.values())}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        cut = PreTokens(tokenizer)
+        cut = pre_tokens(tokenizer)
         for batch in batches:
             yield {"token": batch.column("token"), "n": batch.column("n"),
                    "pieces": cut.pieces(batch.column("token").to_pylist())}
@@ -91,11 +98,10 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", keep: list
     spark = docs.sparkSession
     keep = ["doc_id"] if keep is None else keep
     pieces = materialize(piece_table(docs, tokenizer, text), "pieces")
-    top = pieces.orderBy(F.desc("n"), "token").limit(hot_tokens)
-    sent = spark.sparkContext.broadcast(top.select("token", "pieces").toArrow())
+    sent = spark.sparkContext.broadcast(most_frequent(pieces, "n", hot_tokens).select("token", "pieces").toArrow())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        cut = PreTokens(tokenizer)
+        cut = pre_tokens(tokenizer)
         hot = dict(zip(sent.value.column("token").to_pylist(), sent.value.column("pieces").to_pylist()))
         for batch in batches:
             n_bytes, hot_sum, rare = [], [], []
