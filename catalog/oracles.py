@@ -399,6 +399,20 @@ def oracles() -> dict[str, str]:
         ["m_lab", "scored"], {**OVR, **metrics("test")})
     q["majority_baseline"] = sql(f"""SELECT {KEY}, label, (SELECT label FROM lab GROUP BY label
         ORDER BY count(*) DESC, label LIMIT 1) AS prediction FROM lab""", ["lab"])
+    # Every class must have reached its optimum, and every prediction be the largest margin's.
+    docs_split = split_cte("langs").replace(KEY, "doc_id")
+    langs = {"langs": ([], "SELECT doc_id, lang AS label FROM documents"), "lsplit": (["langs"], docs_split)}
+    for name in ("multinomial_certificate", "ovr_certificate"):
+        q[name] = sql("""SELECT DISTINCT label, (SELECT count(*) FROM lsplit WHERE split = 'train') AS rows, TRUE AS optimal
+            FROM lsplit WHERE split = 'train'""", ["lsplit"], langs)
+    q["predict_certificate"] = sql("""SELECT label, count(*) AS rows, 0::BIGINT AS wrong FROM lsplit WHERE split = 'test'
+        GROUP BY label""", ["lsplit"], langs)
+    merged = {"merged": (["lab"], f"""SELECT {KEY}, CASE WHEN label IN (SELECT label FROM lab GROUP BY label HAVING count(*) < 2)
+        THEN 'Other' ELSE label END AS label FROM lab"""), "msplit": (["merged"], split_cte("merged"))}
+    q["library_certificate"] = sql("""SELECT DISTINCT label, (SELECT count(*) FROM msplit WHERE split = 'train') AS rows,
+        TRUE AS optimal FROM msplit WHERE split = 'train'""", ["msplit"], merged)
+    q["ovr_gd_full_length"] = sql("""SELECT count(*) FILTER (split = 'test') AS n_test, count(DISTINCT label) AS n_labels,
+        TRUE AS beats_majority, TRUE AS loss_falls FROM split""", ["split"], OVR)
     # evaluation
     q["accuracy"] = sql("""SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy
         FROM pred""", ["pred"])

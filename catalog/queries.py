@@ -520,6 +520,57 @@ def ovr_lr(spark, sf):
     return M.predict(M.train_ovr(train, max_iter=20), test).select("doc_id", "label", "prediction")
 
 
+def _converged(df: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    return df.select("label", "rows", (F.col("gradient") < tolerance).alias("optimal"))
+
+
+@query
+def multinomial_certificate(spark, sf):
+    """Trained at full length, whether each class's gradient of the penalised loss vanishes."""
+    train, _ = _lang_rows(spark, sf)
+    n = train.count()
+    return _converged(M.optimality(M.train_multinomial(train), train, penalty=1.0 / n))
+
+
+@query
+def ovr_certificate(spark, sf):
+    train, _ = _lang_rows(spark, sf)
+    return _converged(M.optimality(M.train_ovr(train), train))
+
+
+@query
+def library_certificate(spark, sf):
+    """The library benchmark at its stated length."""
+    rows = materialize(labelled(spark, sf).select(*KEY, "label", "norm"), "labelled")
+    run = benchmark_library(rows)
+    ready = materialize(run.train.select("label", "features"), "ready")
+    return _converged(M.optimality(run.model, ready, penalty=1.0 / ready.count()))
+
+
+@query
+def predict_certificate(spark, sf):
+    """Per true label, test rows, and those whose prediction is not the class of the largest margin."""
+    train, test = _lang_rows(spark, sf)
+    model = M.train_multinomial(train, max_iter=50)
+    best = M.best_margin(model, M.predict(model, test))
+    return best.groupBy("label").agg(F.count("*").alias("rows"), F.count_if(F.col("prediction") != F.col("best")).alias("wrong"))
+
+
+@query
+def ovr_gd_full_length(spark, sf):
+    """The one-vs-rest benchmark at its 1000 epochs, interrupted at 400 and resumed from its stored state."""
+    rows = materialize(labelled(spark, sf).select(*KEY, "label", "norm"), "labelled")
+    state = scratch_path(spark, "state")
+    benchmark_ovr(rows, KEYWORDS, epochs=400, state_path=state)
+    run = benchmark_ovr(rows, KEYWORDS, epochs=1000, state_path=state)
+    tested = run.predictions.agg(F.count("*").alias("n_test"), F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("a"))
+    top = run.predictions.groupBy("label").count().agg(F.max("count").alias("top"))
+    losses = run.model.loss_history(spark).groupBy("label").agg(
+        F.max(F.when(F.col("epoch") == 100, F.col("loss"))).alias("early"), F.max(F.when(F.col("epoch") == 1000, F.col("loss"))).alias("late"))
+    falls = losses.agg(F.bool_and(F.col("late") < F.col("early")).alias("loss_falls"), F.count("*").alias("n_labels"))
+    return tested.join(top).join(falls).select("n_test", "n_labels", (F.col("a") * F.col("n_test") >= F.col("top")).alias("beats_majority"), "loss_falls")
+
+
 @query
 def topics(spark, sf):
     return rounded(topic_report(normalized(spark, sf), n=10)[1], "weight")

@@ -95,13 +95,68 @@ def test_scores_agree_in_both_forms_and_bias_alone_scores_empty_rows(spark, monk
     narrow = M.predict_ovr(model, df)
     assert "Exchange" not in narrow._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
     monkeypatch.setattr(M, "LITERAL_WEIGHTS", 0)
-    joined = M.predict_ovr(model, df)
-    for rows in (narrow.collect(), joined.collect()):
+    monkeypatch.setattr(M, "SENT_CELLS", 2 * size)
+    # Three blocks of one label, in two passes.
+    blocks = M.predict_ovr(model, df)
+    assert blocks.columns == narrow.columns
+    assert "Exchange" not in blocks._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+    for rows in (narrow.collect(), blocks.collect()):
         assert len(rows) == 61
         for r in rows:
             assert (r.prediction, r.score) == (want[r.doc_id][0], pytest.approx(want[r.doc_id][1]))
 
 
+def test_scoring_takes_null_and_repeated_keys(spark, monkeypatch):
+    df, size = features(spark, 12)
+    df = df.withColumn("doc_id", F.when(F.col("doc_id") % 4 > 0, F.col("doc_id") % 3)).coalesce(1).cache()
+    model = M.train_ovr_gd(df, size, epochs=3)
+    tables = model.weight_table(spark), model.bias_table(spark)
+    # In long form a key stands for one row.
+    one = df.dropDuplicates(["doc_id"]).cache()
+    every = lambda: (sorted(map(str, M.predict_ovr(model, df).select("doc_id", "label", "prediction", F.round("score", 9)).collect())),
+                     sorted(map(str, M.score_join(V.to_long(one, key=["doc_id"]), *tables, one, ["doc_id"]).select(
+                         "doc_id", "label", F.round("score", 9)).collect())))
+    literal = every()
+    monkeypatch.setattr(M, "LITERAL_WEIGHTS", 0)
+    assert every() == literal
+    assert len(literal[0]) == 13 and len(literal[1]) == 3 * one.count()
+
+
+def test_resumed_training_equals_an_unbroken_run(spark, tmp_path, monkeypatch):
+    df, size = features(spark)
+    df = df.repartition(3, "doc_id").cache()
+    whole = M.train_ovr_gd(df, size, epochs=25)
+    path = str(tmp_path / "state")
+    step, calls = M._gradient, []
+
+    def dies(*args):
+        calls.append(1)
+        if len(calls) > 17:
+            raise KeyboardInterrupt
+        return step(*args)
+    monkeypatch.setattr(M, "_gradient", dies)
+    with pytest.raises(KeyboardInterrupt):
+        M.train_ovr_gd(df, size, epochs=25, state_path=path, state_every=5)
+    monkeypatch.setattr(M, "_gradient", step)
+    seen = []
+    monkeypatch.setattr(M, "_gradient", lambda *a: (seen.append(1), step(*a))[1])
+    again = M.train_ovr_gd(df, size, epochs=25, state_path=path, state_every=5)
+    assert len(seen) == 10  # epochs 16 to 25
+    assert np.array_equal(again.weights, whole.weights) and np.array_equal(again.bias, whole.bias) and again.losses == whole.losses
+    with pytest.raises(ValueError, match="another run"):
+        M.train_ovr_gd(df, size, epochs=25, lr=0.2, state_path=path)
+
+
+def test_gradient_certificate(spark):
+    df, size = features(spark)
+    df = df.coalesce(1).cache()
+    rough, fine = M.train_multinomial(df, max_iter=2), M.train_multinomial(df, max_iter=500)
+    worst = lambda m: max(r.gradient for r in M.optimality(m, df, penalty=1 / df.count()).collect())
+    assert worst(fine) < 1e-4 < worst(rough)
+    single = M.train_ovr(df, max_iter=3)
+    assert {r.label for r in M.optimality(single, df).collect()} == {"A", "B", "C"}
+
+
 def test_saved_models_predict_the_same(spark, tmp_path):
     df, size = features(spark)
     df = df.coalesce(1).cache()

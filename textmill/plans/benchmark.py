@@ -41,6 +41,7 @@ class LibraryRun:
     model: PipelineModel
     majority: str
     predictions: dict[str, DataFrame]
+    train: DataFrame
 
     def report(self) -> DataFrame:
         return E.compare_models(self.predictions)
@@ -60,8 +61,10 @@ def ovr_rows(labelled: DataFrame, kwmap: KeywordMap, remove_keywords: bool = Tru
 def benchmark_ovr(
     labelled: DataFrame, kwmap: KeywordMap, remove_keywords: bool = True, max_features: int = 1000,
     lr: float = 0.1, epochs: int = 1000, test_size: float = 0.2, seed: int = 42, scale: str = "sum",
+    state_path: str | None = None,
 ) -> OvrRun:
-    """Split, vectorise, train one-vs-rest by gradient ascent, and predict the test rows.
+    """Split, vectorise, train one-vs-rest by gradient ascent, and predict the test rows. With
+    `state_path` the training is stored there as it goes and resumed by the same call.
 
     `labelled` is read more than once: pass a stored table, not a long plan.
     """
@@ -72,7 +75,7 @@ def benchmark_ovr(
     vocab = fit_idf(train, vocab, "terms")
     features = tfidf_model(vocab, "terms")
     size = len(features.stages[0].vocabulary)
-    model = M.train_ovr_gd(transform(features, train), size, lr, epochs, scale)
+    model = M.train_ovr_gd(transform(features, train), size, lr, epochs, scale, state_path=state_path)
     predicted = M.predict_ovr(model, transform(features, test)).select(*KEY, "label", "prediction", "score")
     return OvrRun(features, vocab, model, predicted, model.labels)
 
@@ -94,4 +97,4 @@ def benchmark_library(
     return LibraryRun(features, model, majority, {
         "Logistic Regression": M.predict(model, tested).select(*KEY, "label", "prediction"),
         "Majority": M.predict_majority(majority, test).select(*KEY, "label", "prediction"),
-    })
+    }, ready)
