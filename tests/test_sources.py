@@ -92,6 +92,23 @@ Growth of <i>E. coli</i> at 10<sup>6</sup> &lt; 7 &amp;lt; &#x3b1;&#946; cells.<
         ("14", "Growth of E. coli at 106 < 7 &lt; αβ cells. Second part.")]
 
 
+def test_references_are_decoded_once(spark):
+    from textmill.functions.text import decode_references, markup_text
+    cases = [("&#38;lt;b&#38;gt; &amp;amp;", "&lt;b&gt; &amp;"), ("a &lt; b &#x3b1;&#946;&#x1F600;", "a < b αβ😀"), ("", ""), ("&nbsp; &#0; &#xD800; &#9999999; &", "&nbsp; &#0; &#xD800; &#9999999; &"),
+             ("&lt;", "<"), (None, None)]
+    df = spark.createDataFrame([(a,) for a, _ in cases], "t string")
+    assert [r[0] for r in df.select(decode_references("t")).collect()] == [b for _, b in cases]
+    marked = [("x<![CDATA[a <b> &amp; ]] c]]>y &amp;<i>z</i><!-- no -->", "xa <b> &amp; ]] cy &z"), ("<![CDATA[]]>", ""), ("p<![CDATA[1]]><![CDATA[2]]>", "p12")]
+    df = spark.createDataFrame([(a,) for a, _ in marked], "t string")
+    assert [r[0] for r in df.select(markup_text("t")).collect()] == [b for _, b in marked]
+
+
+def test_article_xml_reads_cdata(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<S><PubmedArticle><PMID>1</PMID><Abstract><AbstractText>&#38;lt;b&#38;gt; <![CDATA[p < q & r]]></AbstractText>"
+                                    "</Abstract></PubmedArticle></S>")
+    assert R.read_article_xml(spark, str(tmp_path / "a.xml")).first().text == "&lt;b&gt; p < q & r"
+
+
 def test_keyword_map_leaves_blank_keywords_out(spark, tmp_path):
     (tmp_path / "k.json").write_text('{"a b": "X", "": "Y", " ": "Z"}')
     assert [r.keyword for r in R.read_keyword_map(spark, str(tmp_path / "k.json")).collect()] == ["a b"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
@@ -150,22 +151,39 @@ def parse_annotations(reply: Column | str) -> Column:
     )
 
 
-def plain_text(markup: Column | str) -> Column:
-    """Decode the named XML entities and the numeric references of a text without tags."""
-    c = _col(markup)
-    # Each distinct numeric reference of the row is replaced in turn.
-    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)"), 1))
+# The named XML references.
+NAMED_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|lt|gt|quot|apos|amp);"
+_CDATA = r"(?s)<!\[CDATA\[.*?\]\]>"
 
+
+def _woven(text: Column, pattern: str, between: Callable, match: Callable) -> Column:
+    """The text with `match` of every match of the pattern and `between` of every part between them."""
+    def weave(parts: Column, found: Column) -> Column:
+        return F.array_join(F.transform(parts, lambda p, i: F.concat(between(p), F.coalesce(match(F.get(found, i)), F.lit("")))), "")
+    flags, body = ("(?s)", pattern[4:]) if pattern.startswith("(?s)") else ("", pattern)
+    return bind(F.split(text, pattern, -1), lambda parts: bind(
+        F.regexp_extract_all(text, F.lit(f"{flags}({body})"), F.lit(1)), lambda found: weave(parts, found)))
+
+
+def decode_references(text: Column | str) -> Column:
+    """Decode named and numeric XML references, each once: what a reference yields is not decoded again."""
     def sign(ref: Column) -> Column:
         digits = F.regexp_extract(ref, r"([0-9A-Fa-f]+);", 1)
-        code = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        code = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         # Four bytes, big-endian, are the sign in UTF-32.
-        return F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
+        decoded = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        named = F.coalesce(*[F.when(ref == k, F.lit(v)) for k, v in NAMED_REFERENCES.items()])
+        return F.when(~ref.startswith("&#"), named).when(valid, decoded).otherwise(ref)
+    return _woven(_col(text), _REFERENCE, lambda p: p, sign)
+
 
-    done = F.aggregate(refs, c, lambda now, ref: F.replace(now, ref, sign(ref)))
-    for name, value in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
-        done = F.replace(done, F.lit(name), F.lit(value))
-    return done
+def markup_text(markup: Column | str) -> Column:
+    """The text of an XML fragment: without tags and comments, references decoded, CDATA sections as they stand."""
+    def plain(part: Column) -> Column:
+        return decode_references(F.regexp_replace(part, r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", ""))
+    return _woven(_col(markup), _CDATA, plain, lambda c: F.substring(c, 10, F.length(c) - 12))
 
 
 def sigmoid(z: Column | str) -> Column:

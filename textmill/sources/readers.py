@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.functions.text import plain_text, trim_space
+from textmill.functions.text import markup_text, trim_space
 from textmill.schemas import ABSTRACTS
 from textmill.sources.json_arrays import array_elements
 
@@ -64,14 +64,13 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 def read_article_xml(spark: SparkSession, path: str, row_tag: str = "PubmedArticle") -> DataFrame:
     """(doc_id, text) from article records; sections are joined by a space, and records
-    without an abstract are left out. Text inside inline markup stays."""
+    without an abstract are left out. Text inside inline markup and CDATA sections stays."""
     # A record is read as its raw text, since a schema would keep one text node per section.
     raw = spark.read.format("text").option("lineSep", f"</{row_tag}>").load(path).select(
         F.regexp_extract("value", rf"(?s)<{row_tag}(?:\s[^>]*)?>(.*)", 1).alias("record"))
     # Cited works further down have ids of their own: the first id is the record's.
     doc_id = F.regexp_extract("record", r"(?s)<PMID(?:\s[^>]*)?>(.*?)</PMID>", 1)
     bodies = F.regexp_extract_all("record", F.lit(r"(?s)<AbstractText(?:\s[^>]*[^/>]|\s*)>(.*?)</AbstractText>"), 1)
-    sections = F.transform(bodies, lambda b: trim_space(
-        plain_text(F.regexp_replace(b, r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", ""))))
+    sections = F.transform(bodies, lambda b: trim_space(markup_text(b)))
     return raw.select(F.trim(doc_id).alias("doc_id"), F.array_join(sections, " ").alias("text")).filter(
         (F.col("doc_id") != "") & (F.size(sections) > 0))
