@@ -217,6 +217,12 @@ SCORING = {
 }
 
 
+def digamma(x: str) -> str:
+    y = f"({x} + 6)"
+    return (f"(ln({y}) - 0.5 / {y} - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6)"
+            + "".join(f" - 1 / ({x} + {i})" for i in range(6)) + ")")
+
+
 def sql(body: str, needs: list[str], extra: dict | None = None) -> str:
     defs = {**CTES, **(extra or {})}
     order: list[str] = []
@@ -413,6 +419,20 @@ def oracles() -> dict[str, str]:
         TRUE AS optimal FROM msplit WHERE split = 'train'""", ["msplit"], merged)
     q["ovr_gd_full_length"] = sql("""SELECT count(*) FILTER (split = 'test') AS n_test, count(DISTINCT label) AS n_labels,
         TRUE AS beats_majority, TRUE AS loss_falls FROM split""", ["split"], OVR)
+    # In the first variational step all topics have the same share in a row, so a term's occurrences are dealt alike everywhere.
+    steps = {
+        "tf": (["norm"], f"SELECT term, count(*) AS tf FROM (SELECT unnest({words2('norm')}) AS term FROM norm) GROUP BY term"),
+        "start": (["tf"], """SELECT term, tf, topic, 0.5 + ('0x' || substr(md5(concat_ws('|', term, topic, '42')), 1, 8))::BIGINT
+            / 4294967296.0::DOUBLE AS w FROM tf, range(4) r(topic)"""),
+        "psi": (["start"], f"""SELECT term, tf, topic, exp({digamma('w')} - {digamma('total')}) AS e
+            FROM start JOIN (SELECT topic, sum(w) AS total FROM start GROUP BY topic) USING (topic)"""),
+        "updated": (["psi"], """SELECT term, topic::INT AS topic, 0.25 + tf * e / sum(e) OVER (PARTITION BY term) AS weight FROM psi"""),
+    }
+    q["topic_update"] = sql("SELECT term, topic, round(weight, 6) AS weight FROM updated", ["updated"], steps)
+    q["topic_top_words"] = sql("""SELECT topic, rank, term, round(weight, 6) AS weight FROM (
+        SELECT topic, term, weight, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term)::INT AS rank FROM (
+            SELECT topic, term, weight / sum(weight) OVER (PARTITION BY topic) AS weight FROM updated)) WHERE rank <= 20""",
+        ["updated"], steps)
     # evaluation
     q["accuracy"] = sql("""SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy
         FROM pred""", ["pred"])

@@ -16,6 +16,7 @@ from textmill.operators import corpus as C
 from textmill.operators import evaluate as E
 from textmill.operators import features as V
 from textmill.operators import models as M
+from textmill.operators import topics as T
 from textmill.operators.annotate import annotation_prompts, parse_replies
 from textmill.operators.corpus import KEY
 from textmill.operators.ranking import rank_within
@@ -576,6 +577,38 @@ def topics(spark, sf):
     return rounded(topic_report(normalized(spark, sf), n=10)[1], "weight")
 
 
+def _topic_rows(spark, sf) -> DataFrame:
+    return materialize(normalized(spark, sf).select(X.terms_word2("norm").alias("terms")), "topics")
+
+
+@query
+def topics_all_terms(spark, sf):
+    """Topics held as a table, over every term of the corpus."""
+    return rounded(T.topics_of(_topic_rows(spark, sf))[1], "weight")
+
+
+def _one_update(spark, sf, k: int = 4) -> tuple[DataFrame, DataFrame]:
+    rows = _topic_rows(spark, sf)
+    vocab = materialize(V.build_vocabulary(rows, "terms", None), "vocab")
+    start = materialize(T.start_topics(vocab, k, 42), "start")
+    new = T.update_topics(T.term_cells(rows, vocab), start, k, 1.0 / k, 1.0 / k, steps=1)
+    return materialize(new, "new"), vocab
+
+
+@query
+def topic_update(spark, sf):
+    """The topics after one update with one variational step in each row."""
+    new, vocab = _one_update(spark, sf)
+    return rounded(new.join(vocab, "idx").select("term", F.posexplode("weights").alias("topic", "weight")), "weight")
+
+
+@query
+def topic_top_words(spark, sf):
+    """The 20 heaviest terms of each topic after that update."""
+    new, vocab = _one_update(spark, sf)
+    return rounded(T.top_topic_words(new, vocab, 4, 20), "weight")
+
+
 @query
 def library_benchmark(spark, sf):
     rows = materialize(labelled(spark, sf).select(*KEY, "label", "norm"), "labelled")

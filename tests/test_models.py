@@ -204,3 +204,42 @@ def test_topics(spark):
     assert len(rows) == 6 and {r["rank"] for r in rows} == {1, 2, 3}
     assert all(a.weight >= b.weight for a, b in zip(rows, rows[1:]) if a.topic == b.topic)
     assert {r.term for r in rows} <= set("apple pear plum car bus tram".split())
+
+
+def test_topic_table_fits_no_worse_than_the_library(spark):
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizerModel
+
+    from textmill.operators import topics as T
+    rng = np.random.default_rng(4)
+    groups = [[f"{g}{i}" for i in range(30)] for g in "abc"]
+    rows = [(list(rng.choice(groups[i % 3], 12)) + list(rng.choice(groups[(i + 1) % 3], i % 4)),) for i in range(150)] + [([],)]
+    df = spark.createDataFrame(rows, "terms array<string>").repartition(3).cache()
+    vocab = V.build_vocabulary(df, "terms", None).cache()
+    cells = T.term_cells(df, vocab)
+    table = T.train_topic_table(cells, vocab, 3, max_iter=15)
+    again = T.train_topic_table(cells.repartition(5), vocab, 3, max_iter=15)
+    mine = np.array([r.weights for r in table.orderBy("idx").collect()])
+    assert np.allclose(mine, np.array([r.weights for r in again.orderBy("idx").collect()]))
+    assert mine.shape == (90, 3) and np.isclose(mine.sum(), sum(len(t) for t, in rows) + 90)
+    mix = {r.row: r.mixture for r in T.topic_mixtures(cells, table, 3).collect()}
+    assert len(mix) == 150
+    beta = mine / mine.sum(axis=0)
+    fit = sum(c.n * math.log(np.dot(mix[c.row], beta[c.idx])) for c in cells.collect())
+
+    words = [r.term for r in vocab.orderBy("idx").collect()]
+    counts = CountVectorizerModel.from_vocabulary(words, inputCol="terms", outputCol="counts").transform(df.filter("size(terms) > 0"))
+    lda = LDA(k=3, maxIter=15, seed=42, optimizer="online", subsamplingRate=1.0, docConcentration=[1 / 3], topicConcentration=1 / 3,
+              featuresCol="counts").fit(counts)
+    other = lda.topicsMatrix().toArray()
+    other = other / other.sum(axis=0)
+    library = sum(n * math.log(r.topicDistribution.toArray() @ other[i]) for r in lda.transform(counts).collect()
+                  for i, n in zip(r.counts.indices, r.counts.values))
+    assert fit >= library
+    top = T.top_topic_words(table, vocab, 3, 5).collect()
+    assert len(top) == 15 and all(len({r.term[0] for r in top if r.topic == t}) == 1 for t in range(3))
+
+
+def test_digamma():
+    from textmill.operators.topics import digamma
+    assert np.allclose(digamma(np.array([1.0, 0.1, 25.0])), [-0.5772156649, -10.4237549404, 3.1987425009])
