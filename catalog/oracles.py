@@ -329,6 +329,9 @@ def oracles() -> dict[str, str]:
     q["corpus_counts"] = sql("""SELECT 'documents' AS stage, count(*) AS n FROM documents
         UNION ALL SELECT 'with_text', count(*) FROM documents WHERE text <> ''
         UNION ALL SELECT 'sentences', count(*) FROM sents UNION ALL SELECT 'kept', count(*) FROM norm""", ["sents", "norm"])
+    q["corpus_counts_observed"] = q["corpus_counts"]
+    q["unpaired_rows"] = """SELECT 'left' AS side, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+        UNION ALL SELECT 'right', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)"""
     q["label_distribution"] = "SELECT lang AS label, count(*) AS n FROM documents GROUP BY lang"
     few = "SELECT label FROM lab GROUP BY label HAVING count(*) < 20"
     q["rare_classes"] = sql("SELECT label, count(*) AS n FROM lab GROUP BY label HAVING count(*) < 20", ["lab"])
@@ -371,16 +374,16 @@ def oracles() -> dict[str, str]:
     q["term_frequency"] = sql("SELECT term, count(*) AS tf FROM tok GROUP BY term", ["tok"])
     q["document_frequency"] = sql("SELECT term, count(DISTINCT (doc_id, sent_idx)) AS df FROM tok GROUP BY term", ["tok"])
     q["build_vocabulary"] = sql("SELECT term, idx, tf, df FROM vocab", ["vocab"])
-    q["vocabulary_all_terms"] = sql("""SELECT term, CAST(row_number() OVER (ORDER BY md5(term), term) - 1 AS INTEGER) AS idx,
-        count(*) AS tf, count(DISTINCT (doc_id, sent_idx)) AS df FROM tok GROUP BY term""", ["tok"])
+    all_terms = """SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS idx,
+        count(*) AS tf, count(DISTINCT (doc_id, sent_idx)) AS df FROM tok GROUP BY term"""
+    q["vocabulary_all_terms"] = sql(all_terms, ["tok"])
     q["idf"] = sql("SELECT term, idx, df, round(idf, 6) AS idf FROM vidf", ["vidf"])
     q["vocab_lookup"] = sql("SELECT term, idx, tf AS n FROM vocab", ["vocab"])
     q["count_vectors"] = sql(f"SELECT {KEY}, idx, n FROM counts", ["counts"])
     q["tfidf_terms"] = sql(f"SELECT {KEY}, idx, round(weight, 6) AS weight FROM weights", ["weights"])
     normed = f"SELECT {KEY}, idx, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY {KEY})), 6) AS weight FROM weights"
     q["l2_norm"] = q["tfidf_vectors"] = sql(normed, ["weights"])
-    every = {"vocab": (["tok"], """SELECT term, CAST(row_number() OVER (ORDER BY md5(term), term) - 1 AS INTEGER) AS idx,
-        count(*) AS tf, count(DISTINCT (doc_id, sent_idx)) AS df FROM tok GROUP BY term""")}
+    every = {"vocab": (["tok"], all_terms)}
     q["count_vectors_all_terms"] = sql(f"SELECT {KEY}, idx, n FROM counts", ["counts"], every)
     q["tfidf_all_terms"] = sql(normed, ["weights"], every)
     words = {
@@ -395,7 +398,7 @@ def oracles() -> dict[str, str]:
     q["ovr_gd_bias"] = sql("SELECT l AS label, round(b, 6) AS bias FROM b", ["b"], OVR)
     q["loss_history"] = sql(f"SELECT label, {EPOCHS} AS epoch, round(loss, 6) AS loss FROM m_loss", ["m_loss"], OVR)
     q["ovr_gd_predict"] = sql(f"SELECT {KEY}, label, prediction, round(score, 6) AS score FROM test", ["test"], OVR)
-    q["model_roundtrip"] = sql(f"SELECT {KEY}, truth AS label, prediction FROM m_best", ["m_best"], OVR)
+    q["run_roundtrip"] = q["model_roundtrip"] = sql(f"SELECT {KEY}, truth AS label, prediction FROM m_best", ["m_best"], OVR)
     q["score_join"] = sql(f"SELECT {KEY}, label, round(score, 6) AS score FROM m_score", ["m_score"], OVR)
     q["argmax_label"] = sql(f"SELECT {KEY}, prediction, round(score, 6) AS score FROM m_best", ["m_best"], OVR)
     q["loss_by_label"] = sql("""SELECT label, round(-avg(CASE WHEN truth = label THEN ln(score + 1e-15)

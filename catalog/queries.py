@@ -23,7 +23,8 @@ from textmill.operators.ranking import rank_within
 from textmill.operators.split import stratified_split
 from textmill.plans.annotator import annotator_report
 from textmill.plans.benchmark import benchmark_library, benchmark_ovr, ovr_rows
-from textmill.plans.build import collect_corpus, extract_corpus, preprocess_corpus, sentences_per_label
+from textmill.plans.build import collect_corpus, extract_corpus, preprocess_corpus, preprocess_counted, sentences_per_label
+from textmill.plans.runs import load_run, save_run
 from textmill.plans.topics import topic_report
 from textmill.runtime import materialize, scratch_path, small_table
 from textmill.sources import readers as R
@@ -209,6 +210,12 @@ def corpus_counts(spark, sf):
     return C.corpus_counts(documents(spark, sf), rows)
 
 
+@query
+def corpus_counts_observed(spark, sf):
+    """The same counts, gathered while the rows are written: one pass."""
+    return preprocess_counted(documents(spark, sf))[1]
+
+
 @query
 def label_distribution(spark, sf):
     return C.label_distribution(table(spark, sf, "documents", "lang").select(F.col("lang").alias("label")))
@@ -321,6 +328,11 @@ def align_labels_table(spark, sf):
                             ["doc_id"], strict=False)
 
 
+@query
+def unpaired_rows(spark, sf):
+    return C.unpaired_rows(table(spark, sf, "documents", "doc_id", "lang"), table(spark, sf, "labels"), ["doc_id"])
+
+
 # --- features -----------------------------------------------------------------------
 
 @query
@@ -493,6 +505,16 @@ def model_roundtrip(spark, sf):
     return again.select(*KEY, "label", "prediction")
 
 
+@query
+def run_roundtrip(spark, sf):
+    """Save and reload a whole run, then score all rows with what the manifest names."""
+    path = scratch_path(spark, "run")
+    save_run(_run(spark, sf), path, KEYWORDS)
+    again = load_run(spark, path)
+    rows = ovr_rows(labelled(spark, sf), again.kwmap).select(*KEY, "label", "terms")
+    return M.predict_ovr(again.model, V.transform(again.features, rows)).select(*KEY, "label", "prediction")
+
+
 @query
 def majority_baseline(spark, sf):
     rows = materialize(labelled(spark, sf).select(*KEY, "label"), "labelled")

@@ -8,13 +8,21 @@ from pyspark.sql import functions as F
 from textmill.functions.text import parse_annotations
 from textmill.operators.corpus import KeywordMap, batch_rows, keyword_pairs
 
+# Keywords that one prompt can list.
+MAX_KEYWORDS = 2_000
+
 
 def annotation_prompts(
     df: DataFrame, kwmap: KeywordMap, size: int = 10, group: str = "doc_id", order: str = "sent_idx",
     item: str = "sentence", other: str = "Other",
 ) -> DataFrame:
-    """(group, batch, prompt): instruction, keyword list and numbered sentences per batch."""
-    pairs = keyword_pairs(kwmap, limit=10**9)
+    """(group, batch, prompt): instruction, keyword list and numbered sentences per batch.
+
+    Every prompt repeats the keyword list; a map of more than `MAX_KEYWORDS` is refused.
+    """
+    pairs = keyword_pairs(kwmap, limit=MAX_KEYWORDS)
+    if pairs is None:
+        raise ValueError(f"more than {MAX_KEYWORDS} keywords for one prompt")
     known = "".join(f"- {keyword} = {label}\n" for keyword, label in pairs)
     head = (
         "Give each numbered sentence the labels of the keywords it mentions.\n"

@@ -366,7 +366,8 @@ def count_removed(df: DataFrame, kwmap: KeywordMap, text: str = "norm", key: lis
 
 
 def align_by_index(left: DataFrame, right: DataFrame, on: list[str], strict: bool = True) -> DataFrame:
-    """Pair two tables by key. With `strict`, a row without partner fails the query."""
+    """Pair two tables by key. With `strict`, a row without partner fails the query; otherwise such rows
+    are left out, and `unpaired_rows` counts them."""
     if not strict:
         return left.join(right, on)
     both = left.withColumn("_l", F.lit(True)).join(right.withColumn("_r", F.lit(True)), on, "full")
@@ -375,6 +376,13 @@ def align_by_index(left: DataFrame, right: DataFrame, on: list[str], strict: boo
     return both.filter(paired).drop("_l", "_r")
 
 
+def unpaired_rows(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """(side, n): the rows that `align_by_index(strict=False)` leaves out on either side. Null keys never pair."""
+    counts = [a.join(b.select(*on).distinct(), on, "left_anti").agg(F.lit(side).alias("side"), F.count("*").alias("n"))
+              for side, a, b in (("left", left, right), ("right", right, left))]
+    return counts[0].unionByName(counts[1])
+
+
 def batch_rows(df: DataFrame, size: int, group: str = "doc_id", order: str = "sent_idx",
                item: str = "sentence") -> DataFrame:
     """Consecutive batches of `size` rows per group: (group, batch, items in order)."""

@@ -40,15 +40,21 @@ def term_statistics(df: DataFrame, terms: str = "tokens") -> DataFrame:
 def build_vocabulary(df: DataFrame, terms: str = "tokens", max_features: int | None = 1000) -> DataFrame:
     """(term, idx, tf, df): the most frequent terms, ties in term order.
 
-    Without `max_features` all terms are numbered in the order of a hash, bucket by
-    bucket, so that no task ever sorts the whole vocabulary.
+    Without `max_features` all terms are numbered in the same order, with a 64-bit index: terms of higher
+    counts are counted by a histogram, and equal counts are ranked by term, prefix by
+    prefix, so that no task ever sorts the whole vocabulary.
     """
     stats = term_statistics(df, terms)
     if max_features is None:
-        # Ranking reads the statistics twice; stored, they cost the corpus one pass only.
-        hashed = materialize(stats.withColumn("_h", F.md5("term")), "terms")
-        ranked = rank_within(hashed, [], F.substring("_h", 1, 4), [F.col("_h"), F.col("term")], "_rank")
-        return ranked.select("term", (F.col("_rank") - 1).cast("int").alias("idx"), "tf", "df")
+        # Ranking reads the statistics more than once; stored, they cost the corpus one pass only.
+        stored = materialize(stats, "terms")
+        higher = W.orderBy(F.desc("tf")).rowsBetween(W.unboundedPreceding, -1)
+        # One row per distinct count: far fewer than terms.
+        above = stored.groupBy("tf").agg(F.count("*").alias("_n")).select(
+            "tf", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"))
+        ranked = rank_within(stored, ["tf"], F.substring("term", 1, 3), [F.col("term")], "_rank")
+        idx = (F.col("_above") + F.col("_rank") - 1).cast("bigint")
+        return ranked.join(above, "tf").select("term", idx.alias("idx"), "tf", "df")
     order = [F.desc("tf"), F.asc("term")]
     top = stats.orderBy(*order).limit(max_features)
     idx = F.row_number().over(W.orderBy(*order)) - 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textmill.operators import corpus as C
@@ -34,6 +34,20 @@ def preprocess_corpus(sentences: DataFrame, lexicon: DataFrame | None = None, st
     return C.lemmatize(materialize(out, "tokens"), lexicon)
 
 
+def preprocess_counted(docs: DataFrame, stop: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stored normalised rows of documents, and (stage, n): documents, those with text, sentences, rows kept.
+
+    The counts are observed while the rows are written, so they cost no pass of their own.
+    """
+    seen, cut, kept = Observation(), Observation(), Observation()
+    docs = docs.observe(seen, F.count("*").alias("documents"), F.count_if(F.col("text") != "").alias("with_text"))
+    rows = C.sentences(C.drop_missing_text(docs)).observe(cut, F.count("*").alias("sentences"))
+    rows = C.normalize_nonempty(rows, stop=stop).observe(kept, F.count("*").alias("kept"))
+    stored = materialize(rows, "normalized")
+    counts = [(stage, n) for o in (seen, cut, kept) for stage, n in o.get.items()]
+    return stored, docs.sparkSession.createDataFrame(counts, "stage string, n long")
+
+
 def label_corpus(norm: DataFrame, kwmap: KeywordMap, normalized_keywords: bool = False) -> DataFrame:
     """Add `labels` and `label`."""
     return C.first_label(C.assign_labels(norm, kwmap, normalized_keywords=normalized_keywords))
