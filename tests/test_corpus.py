@@ -104,3 +104,17 @@ def test_an_extra_reply_line_does_not_shift_later_rows(spark):
     assert report.filter("label = 'accuracy'").first().f1 == 1.0
     partly = annotator_report(labelled, replies.filter("batch = 0"), size=2)
     assert partly.filter("label = 'accuracy'").first().f1 == 0.5
+
+
+def test_lemmas_inside_rows_equal_the_joined_form(spark, monkeypatch):
+    rows = [(1, 0, ["cells", "cell", "boxes"]), (1, 1, []), (None, 2, ["cells", "women", "cells"]), (None, 2, ["gas"]), (2, 0, None), (3, 1, ["woman", "box", "cell"])]
+    df = spark.createDataFrame(rows, "doc_id long, sent_idx int, tokens array<string>").repartition(2).cache()
+    lexicon = spark.createDataFrame([("cell",), ("box",), ("woman",)], "term string")
+    inside = C.lemmatize(df, lexicon)
+    assert "Exchange" not in inside._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+    got = sorted(map(str, inside.select("doc_id", "sent_idx", "tokens", "norm").collect()))
+    assert sum("'cell', 'woman', 'cell'" in r for r in got) == 1 and len(got) == 6
+    monkeypatch.setattr(C, "LEMMA_ROWS", 0)
+    keyed = df.where("doc_id IS NOT NULL")
+    joined = C.lemmatize(keyed, lexicon).select("doc_id", "sent_idx", "tokens", "norm").collect()
+    assert sorted(map(str, joined)) == [r for r in got if "doc_id=None" not in r]

@@ -18,6 +18,8 @@ from textmill.schemas import KEYWORD_MAP
 KEY = ["doc_id", "sent_idx"]
 # Up to this many keywords are compiled into the projection; a larger map is joined.
 LITERAL_KEYWORDS = 500
+# A lemma table of at most this many rows (some 20 bytes each) is looked up inside the rows.
+LEMMA_ROWS = 500_000
 
 KeywordMap = dict[str, str] | DataFrame
 
@@ -165,12 +167,36 @@ def lemma_table(terms: DataFrame, lexicon: DataFrame) -> DataFrame:
     return best.filter(F.col("lemma") != F.col("term"))
 
 
+def _replaced(sent):
+    """Arrow batches with the terms of `tokens` replaced by a table of two columns."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        table = sent.value
+        terms, lemmas = (table.column(c).combine_chunks() for c in ("term", "lemma"))
+        for batch in batches:
+            at = batch.schema.get_field_index("tokens")
+            lists = batch.column(at)
+            flat = lists.flatten()
+            found = lemmas.take(pc.index_in(flat, value_set=terms))
+            ends = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(pc.fill_null(lists.value_lengths(), 0))])
+            tokens = pa.ListArray.from_arrays(ends, pc.coalesce(found, flat), mask=lists.is_null())
+            yield batch.set_column(at, batch.schema.field(at).name, tokens)
+    return run
+
+
 def apply_lemmas(df: DataFrame, lemmas: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Replace tokens by their lemma and rebuild `norm`.
 
-    Only tokens that some suffix rule may change leave their row; the changed positions
-    return to it as one small map per key.
+    A table of at most `LEMMA_ROWS` rows is sent to the executors and looked up inside each row, without a shuffle.
+    For a larger one, the tokens that some suffix rule may change leave their row; the
+    changed positions return to it as one small map per key.
     """
+    local = lemmas.select("term", "lemma").limit(LEMMA_ROWS + 1).toArrow()
+    if local.num_rows <= LEMMA_ROWS:
+        sent = df.sparkSession.sparkContext.broadcast(local)
+        return df.mapInArrow(_replaced(sent), df.schema).withColumn("norm", X.join_tokens("tokens"))
     open_tokens = df.select(*key, F.posexplode("tokens").alias("at", "term")).filter(_may_change(F.col("term")))
     patches = (
         open_tokens.join(lemmas, "term").groupBy(*key)
@@ -196,7 +222,7 @@ def lemmatize(df: DataFrame, lexicon: DataFrame | None = None, key: list[str] =
         terms, lexicon = stats, stats.filter(F.col("df") >= 2)
     else:
         terms = each.filter(_may_change(F.col("term"))).distinct()
-    return apply_lemmas(df, small_table(lemma_table(terms, lexicon)), key)
+    return apply_lemmas(df, materialize(lemma_table(terms, lexicon), "lemmas"), key)
 
 
 # --- labels -------------------------------------------------------------------------
