@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,8 +18,9 @@ from textmill.runtime import materialize
 SPACES = " \t\n\x0b\x0c\r"
 # Words of a shingle or of a repeated window.
 SHINGLE = 5
-# Texts in an Arrow batch: long texts must not pile up in a Python worker.
+# Texts and bytes in an Arrow batch: long texts must not pile up in a Python worker.
 BATCH_ROWS = 500
+BATCH_BYTES = 8 << 20
 # Rows of a derived table that is small enough to be sent to every executor.
 SMALL_ROWS = 100_000
 
@@ -28,7 +31,13 @@ _HELD: dict = {}
 def held_by_worker(key: tuple, make: Callable):
     """`make()`, kept by the Python worker for its next tasks. A worker holds one such object: another key frees it."""
     if key not in _HELD:
-        _HELD.clear()
+        if _HELD:
+            _HELD.clear()
+            # What the earlier stage used goes back to the system, or stages would add up in a worker that is used again.
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
         _HELD[key] = make()
     return _HELD[key]
 
@@ -76,8 +85,10 @@ def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterato
                schema: str | T.StructType) -> DataFrame:
     """`mapInArrow` for functions that yield columns as a dict of lists or arrays, in small batches."""
     spark = df.sparkSession
+    # The setting is read when the plan runs, so it holds for the session from here on.
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     kind = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
     arrow = to_arrow_schema(kind)
 
