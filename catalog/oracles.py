@@ -283,6 +283,25 @@ def oracles() -> dict[str, str]:
     q["label_counts"] = sql("SELECT label, count(*) AS n FROM lab GROUP BY label", ["lab"])
     q["drop_missing_text"] = "SELECT conv_id, turn, text FROM conversations WHERE text <> ''"
     q["sentence_split"] = sql(f"SELECT {KEY}, sentence FROM sents", ["sents"])
+    run = r"[\p{L}\p{N}](?:[\p{L}\p{N}.-]*[\p{L}\p{N}])?"
+    shape = lit(rf"^[(\[\"']*({run})(\.?)[)\]\"',;:]*$")
+    abbr = {
+        "dots": ([], rf"""SELECT word, stop FROM (SELECT lower(regexp_extract(t, {shape}, 1)) AS word, regexp_extract(t, {shape}, 2) = '.' AS stop
+            FROM (SELECT unnest(string_split_regex(text, {lit(SPACE)})) AS t FROM documents)) WHERE regexp_matches(word, '\p{{L}}')"""),
+        "dotted": (["dots"], """SELECT word, count(*) FILTER (stop) AS with_stop, count(*) FILTER (NOT stop) AS without FROM dots GROUP BY word"""),
+        "abbr": (["dotted"], """SELECT word, with_stop, without, 2 * (with_stop * ln(0.99::DOUBLE) + without * ln(1 - 0.99::DOUBLE)
+                - with_stop * ln(base) - without * ln(1 - base)) * exp(-size) * (length(word) - size + 1) * pow(size, -without::DOUBLE) AS score
+            FROM (SELECT *, length(replace(word, '.', ''))::DOUBLE AS size FROM dotted),
+                 (SELECT sum(with_stop)::DOUBLE / sum(with_stop + without) AS base FROM dotted)"""),
+    }
+    q["abbreviation_statistics"] = sql("SELECT word, with_stop, without, round(score, 6) + 0.0::DOUBLE AS score FROM abbr", ["abbr"], abbr)
+    kept = rf"regexp_replace(text, '([.!?])({SPACE}+\p{{Lu}})', '\1' || chr(1) || '\2', 'g')"
+    short = f"list_contains(short, lower(regexp_extract(p[i - 1], {lit('(' + run + ')' + chr(92) + '.$')}, 1)))"
+    glued = f"array_to_string(list_transform(p, lambda x, i: CASE WHEN i = 1 OR {short} THEN x ELSE chr(1) || x END), '')"
+    clean_cut = rf"string_split(regexp_replace({glued}, chr(1) || {lit(SPACE + '+')}, chr(1), 'g'), chr(1))"
+    q["sentence_split_abbreviations"] = sql(f"""SELECT doc_id, CAST(unnest(range(len(s))) AS INTEGER) AS sent_idx, unnest(s) AS sentence
+        FROM (SELECT doc_id, {clean_cut} AS s FROM (SELECT doc_id, string_split({kept}, chr(1)) AS p FROM documents WHERE text <> ''),
+            (SELECT coalesce(list(word), []) AS short FROM abbr WHERE score >= 0.3))""", ["abbr"], abbr)
     q["keyword_mentions"] = sql(f"""SELECT {KEY}, sentence FROM sents WHERE EXISTS
         (SELECT 1 FROM kw WHERE contains(lower(sentence), keyword))""", ["sents", "kw"])
     q["strip_punctuation"] = f"SELECT doc_id, {clean('text')} AS clean FROM documents"

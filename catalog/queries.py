@@ -78,6 +78,19 @@ def sentence_split(spark, sf):
     return sentences(spark, sf)
 
 
+@query
+def abbreviation_statistics(spark, sf):
+    # Adding zero turns the zero of negative sign into the other one.
+    return rounded(C.abbreviation_statistics(documents(spark, sf)), "score").withColumn("score", F.col("score") + 0.0)
+
+
+@query
+def sentence_split_abbreviations(spark, sf):
+    """Sentences without cuts behind the corpus's own abbreviations (here: whatever its words suggest)."""
+    docs = C.drop_missing_text(documents(spark, sf))
+    return C.sentences(docs, abbreviations=C.abbreviations(docs))
+
+
 @query
 def keyword_mentions(spark, sf):
     return extract_corpus(documents(spark, sf), KEYWORDS)

@@ -67,3 +67,19 @@ def test_semicolons_and_replies(spark):
 def test_sigmoid(spark):
     assert one(spark, "x", X.sigmoid(F.lit(0.0))) == 0.5
     assert one(spark, "x", X.sigmoid(F.lit(-800.0))) == 0.0
+
+
+def test_abbreviations_are_learned_and_not_cut(spark):
+    from textmill.operators import corpus as C
+    texts = [f"Dr. Miller met {a} e.g. Anna. She saw Prof. {b} there. It was late. Dr. Who left!" for a in ("Bo", "Al", "Jo") for b in "XYZ"] * 5
+    texts += ["Late that day Anna was there and Miller left"] * 9
+    texts += ["The miller met her there and she was late. Anna was late.\n\nWhat? Yes", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    short = C.abbreviations(df)
+    assert {"dr", "prof", "e.g"} <= set(short) and not {"late", "there", "anna"} & set(short)
+    got = [r.sentence for r in C.sentences(df.where("doc_id = 0"), abbreviations=short).orderBy("sent_idx").collect()]
+    assert got == ["Dr. Miller met Bo e.g. Anna.", "She saw Prof. X there.", "It was late.", "Dr. Who left!"]
+    # White space inside a sentence stays; nothing changes where there is no abbreviation.
+    assert one(spark, "  A dr.  Who. B", X.split_sentences("t", ["dr"])) == ["  A dr.  Who.", "B"]
+    assert one(spark, " One.  Two!\n\nThree? four", X.split_sentences("t", ["zz"])) == one(spark, " One.  Two!\n\nThree? four", X.split_sentences("t"))
+    assert C.abbreviation_statistics(df.where("doc_id < 0")).count() == 0

@@ -19,6 +19,8 @@ SPACE = f"[{SPACE_CHARS}]"
 # Characters a word consists of, and quotation marks that part words.
 WORD_CHARS = r"\p{L}\p{N}_"
 QUOTES = "«»“”‘’„"
+# A word that may hold full stops, but not at its ends.
+WORD_RUN = r"[\p{L}\p{N}](?:[\p{L}\p{N}.-]*[\p{L}\p{N}])?"
 # Words the word tokenizer breaks in two (can|not, gon|na, ...).
 SPLIT_WORDS = r"(?U)(?=[cglw])\b(can(?=not\b)|gon(?=na\b)|got(?=ta\b)|gim(?=me\b)|lem(?=me\b)|wan(?=na\b))"
 # Suffix rules for English nouns, (ending, replacement).
@@ -32,9 +34,33 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def split_sentences(text: Column | str) -> Column:
-    """Array of sentences: cut at white space between `.`, `!` or `?` and an upper-case letter."""
-    return F.split(_col(text), rf"(?<=[.!?]){SPACE}+(?=\p{{Lu}})")
+def split_sentences(text: Column | str, abbreviations: list[str] | None = None) -> Column:
+    """Array of sentences: cut at white space between `.`, `!` or `?` and an upper-case letter.
+
+    With `abbreviations` (lower case, without the last full stop) there is no cut behind one of them.
+    """
+    if not abbreviations:
+        return F.split(_col(text), rf"(?<=[.!?]){SPACE}+(?=\p{{Lu}})")
+    mark = chr(0xFDD0)  # no character: it does not occur in text
+
+    def glued(parts: Column) -> Column:
+        def lead(i: Column) -> Column:
+            last = F.lower(F.regexp_extract(F.get(parts, i - 1), rf"({WORD_RUN})\.$", 1))
+            return F.when((i == 0) | ((last != "") & last.isin(abbreviations)), "").otherwise(mark)
+        return F.array_join(F.transform(parts, lambda p, i: F.concat(lead(i), p)), "")
+    # The cuts keep their white space, so that what is glued is as it was.
+    joined = bind(F.split(_col(text), rf"(?<=[.!?])(?={SPACE}+\p{{Lu}})"), glued)
+    return F.split(F.regexp_replace(joined, f"{mark}{SPACE}+", mark), mark)
+
+
+def stopped_words(text: Column | str) -> Column:
+    """Array of (word, stop) for each white-space separated token that is a word: lower case, without outer
+    punctuation, and whether a full stop follows."""
+    spaced = F.translate(_col(text), SPACE_CHARS, " " * len(SPACE_CHARS))
+    shape = rf"^[(\[\"']*({WORD_RUN})(\.?)[)\]\"',;:]*$"
+    words = F.transform(F.split(spaced, " "), lambda t: F.struct(
+        F.lower(F.regexp_extract(t, shape, 1)).alias("word"), (F.regexp_extract(t, shape, 2) == ".").alias("stop")))
+    return F.filter(words, lambda w: w["word"].rlike(r"\p{L}"))
 
 
 def lowercase(text: Column | str) -> Column:

@@ -94,9 +94,41 @@ def attach_doc_labels(docs: DataFrame, doc_labels: DataFrame) -> DataFrame:
 
 # --- sentences ----------------------------------------------------------------------
 
-def sentences(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def sentences(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
+              abbreviations: list[str] | None = None) -> DataFrame:
     """One row per sentence, keyed by its position in the document."""
-    return df.select(*keep, F.posexplode(X.split_sentences(text)).alias("sent_idx", "sentence"))
+    return df.select(*keep, F.posexplode(X.split_sentences(text, abbreviations)).alias("sent_idx", "sentence"))
+
+
+def abbreviation_statistics(df: DataFrame, text: str = "text") -> DataFrame:
+    """(word, with_stop, without, score): how strongly a word attracts the full stop behind it.
+
+    The score is the log-likelihood ratio of "a stop nearly always follows" against "as often as behind any
+    word", scaled down for long words and for occurrences without a stop, and up for stops inside (T. Kiss and J. Strunk,
+    Unsupervised Multilingual Sentence Boundary Detection, 2006). One aggregate by word; the totals are one row.
+    """
+    each = df.select(F.explode(X.stopped_words(text)).alias("w")).select("w.word", "w.stop")
+    words = materialize(each.groupBy("word").agg(
+        F.count_if("stop").alias("with_stop"), F.count_if(~F.col("stop")).alias("without")), "words")
+    total = words.agg(F.sum("with_stop").alias("k"), F.sum(F.col("with_stop") + F.col("without")).alias("n")).first()
+    if not total["k"] or total["k"] == total["n"]:
+        return words.withColumn("score", F.lit(0.0))
+    base = total["k"] / total["n"]
+
+    def likelihood(p: float) -> Column:
+        return F.col("with_stop") * F.log(F.lit(p)) + F.col("without") * F.log(F.lit(1 - p))
+    size = F.length(F.translate("word", ".", "")).cast("double")
+    inner = F.length("word") - size + 1
+    ratio = 2 * (likelihood(0.99) - likelihood(base))
+    return words.withColumn("score", ratio * F.exp(-size) * inner * F.pow(size, -F.col("without").cast("double")))
+
+
+def abbreviations(df: DataFrame, text: str = "text", least: float = 0.3, limit: int = 10_000) -> list[str]:
+    """The words that score at least `least`, for `sentences`; more than `limit` are refused."""
+    found = abbreviation_statistics(df, text).where(F.col("score") >= least).select("word").limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} abbreviations")
+    return sorted(r.word for r in found)
 
 
 def mentions_any(df: DataFrame, kwmap: KeywordMap | list[str], text: str = "sentence") -> DataFrame:
