@@ -35,8 +35,8 @@ from textmill.runtime import materialize
 
 LIMIT = 2048
 END_ID = 0
-# Entries of a worker's table of encoded words; it is started anew when full.
-CACHE_WORDS = 600_000
+# Entries of a worker's table of encoded words, some 200 bytes each; it is started anew when full.
+CACHE_WORDS = 1_500_000
 # Words of plain letters (here as UTF-8) with plain signs behind them. Case and signs are taken off such a word
 # before it is encoded, since the tokenizer lower-cases and never merges letters with signs.
 _PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?*#$%|]*)")
@@ -49,9 +49,10 @@ class WordIds:
     encoded one by one.
     """
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer)
+        self.cache_words = cache_words
         self.table: dict[bytes, bytes] = {}
         # Whether an id ends a word.
         end = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
@@ -99,7 +100,7 @@ class WordIds:
         split = [t.split() for t in texts.cast(pa.binary()).to_pylist()]
         distinct = set().union(*split)
         if missing := distinct.difference(self.table):
-            if len(self.table) + len(missing) > CACHE_WORDS:
+            if len(self.table) + len(missing) > self.cache_words:
                 self.table.clear()
                 missing = distinct
             self.learn(missing)
@@ -108,20 +109,20 @@ class WordIds:
         return [b"".join(map(own.__getitem__, words)) for words in split]
 
 
-def word_ids(tokenizer: str) -> WordIds:
+def word_ids(tokenizer: str, cache_words: int) -> WordIds:
     """One table per Python worker, which serves many tasks. The tokenizer's own threads stay off: Spark runs a task per core."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return held_by_worker(("word ids", tokenizer), lambda: WordIds(tokenizer))
+    return held_by_worker(("word ids", tokenizer, cache_words), lambda: WordIds(tokenizer, cache_words))
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None,
-               limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:
+               limit: int = LIMIT, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pieces of every row: the columns `keep`, piece, start, length, ids_crc32."""
     keep = ["doc_id"] if keep is None else keep
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = word_ids(tokenizer)
+        coder = word_ids(tokenizer, cache_words)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
             for r, ids in enumerate(coder.of(batch.column("_text"))):
@@ -228,6 +229,6 @@ def pack(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None,
-                     limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:
+                     limit: int = LIMIT, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
     """The pieces of all rows with their sequence and the place there."""
-    return pack(materialize(cut_pieces(docs, tokenizer, text, keep, limit, end_id), "pieces"), limit)
+    return pack(materialize(cut_pieces(docs, tokenizer, text, keep, limit, end_id, cache_words), "pieces"), limit)
