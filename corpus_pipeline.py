@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from textmill.llm import jaccard, linededup, packing, quality
 from textmill.runtime import materialize
 
+# Encoded words that a Python worker remembers: fewer than in a job of its own, since the executors
+# of earlier stages keep their memory.
+CACHE_WORDS = 300_000
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules on their text and on their host. Null, empty and very short texts go;
@@ -35,7 +39,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their place in sequences of 2048 tokens. A null or empty text is one piece
     of its end id; repeated rows are packed one by one."""
-    return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"), cache_words=CACHE_WORDS)
 
 
 STAGES = [
