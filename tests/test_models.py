@@ -243,3 +243,38 @@ def test_topic_table_fits_no_worse_than_the_library(spark):
 def test_digamma():
     from textmill.operators.topics import digamma
     assert np.allclose(digamma(np.array([1.0, 0.1, 25.0])), [-0.5772156649, -10.4237549404, 3.1987425009])
+
+
+def test_weights_are_sent_once_per_block_and_term(spark, monkeypatch):
+    from textmill.operators import topics as T
+    monkeypatch.setattr(T, "BLOCK_CELLS", 300)
+    rows = [([f"w{i % 7}", f"w{i % 3}", f"w{i % 3}", f"x{i}", "out"],) for i in range(400)] + [([],), (None,), (["out"],), (["out", "w0"],)]
+    df = spark.createDataFrame(rows, "terms array<string>").repartition(2).cache()
+    vocab = V.build_vocabulary(df, "terms", None).filter("term <> 'out'").cache()
+    cells, packed = T.term_cells(df, vocab), T.term_blocks(df, vocab)
+    # One row of weights per block and term, where there was one per cell.
+    assert packed.blocks.count() >= 4 and packed.links.count() < cells.count() - 500
+    assert packed.blocks.selectExpr("max(size(n)) n").first().n <= 300
+    start = T.start_topics(vocab, 3, 1).cache()
+    # Row by row, as the operator states it.
+    e = {r.idx: r.weights for r in start.collect()}
+    totals, by_row, want = np.sum(list(e.values()), axis=0), {}, {}
+    for c in cells.collect():
+        by_row.setdefault(c.row, []).append((c.idx, c.n))
+    for cs in by_row.values():
+        idx, n = [i for i, _ in sorted(cs)], np.array([float(x) for _, x in sorted(cs)])
+        logs = np.exp(T.digamma(np.array([e[i] for i in idx])) - T.digamma(totals))
+        mix = np.full(3, 0.3 + n.sum() / 3)
+        for _ in range(100):
+            part = logs * np.exp(T.digamma(mix) - T.digamma(mix.sum()))
+            part *= (n / (part.sum(axis=1) + 1e-100))[:, None]
+            new = 0.3 + part.sum(axis=0)
+            moved, mix = np.abs(new - mix).mean(), new
+            if moved < 1e-3:
+                break
+        for i, p in zip(idx, part):
+            want[i] = want.get(i, 0.2) + p
+    for given in (cells, packed):
+        got = {r.idx: r.weights for r in T.update_topics(given, start, 3, 0.3, 0.2).collect()}
+        assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
+        assert T.topic_mixtures(given, start, 3).count() == 401
