@@ -278,3 +278,21 @@ def test_weights_are_sent_once_per_block_and_term(spark, monkeypatch):
         got = {r.idx: r.weights for r in T.update_topics(given, start, 3, 0.3, 0.2).collect()}
         assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
         assert T.topic_mixtures(given, start, 3).count() == 401
+
+
+def test_topic_model_keeps_its_vocabulary_in_a_table(spark, tmp_path):
+    from textmill.operators.topics import topic_totals
+    df = spark.createDataFrame([(1, ["apple", "pear", "plum"]), (2, ["car", "bus", "tram"]), (3, []), (4, None)] * 6, "id int, terms array<string>")
+    model = M.train_topics(df, 2, terms="terms")
+    assert model.stages[-1].topics.count() == 6 and np.isclose(topic_totals(model.stages[-1].topics, 2).sum(), 36 + 6)
+    mixed = model.transform(df)
+    assert mixed.columns == ["id", "terms", "topicDistribution"] and mixed.count() == 24
+    for r in mixed.collect():
+        assert np.isclose(r.topicDistribution.toArray().sum(), 1.0 if r.id < 3 else 0.0)
+    M.save_model(model, str(tmp_path / "m"))
+    again = M.load_model(str(tmp_path / "m"))
+    assert sorted(M.top_words(again, 2).collect()) == sorted(M.top_words(model, 2).collect())
+    rows = {r.id: r.topicDistribution.toArray() for r in mixed.collect()}
+    assert all(np.allclose(r.topicDistribution.toArray(), rows[r.id]) for r in again.transform(df).collect())
+    bounded = M.train_topics(df, 2, terms="terms", vocab=V.build_vocabulary(df, "terms", 4))
+    assert bounded.stages[-1].topics.count() == 4
