@@ -245,6 +245,12 @@ def test_digamma():
     assert np.allclose(digamma(np.array([1.0, 0.1, 25.0])), [-0.5772156649, -10.4237549404, 3.1987425009])
 
 
+def test_exp_digamma():
+    from textmill.operators.topics import digamma, exp_digamma
+    x = np.array([1e-3, 0.1, 0.25, 1.0, 3.7, 25.0, 1e6])
+    assert np.allclose(exp_digamma(x), np.exp(digamma(x)), rtol=1e-12, atol=0)
+
+
 def test_weights_are_sent_once_per_block_and_term(spark, monkeypatch):
     from textmill.operators import topics as T
     monkeypatch.setattr(T, "BLOCK_CELLS", 300)
