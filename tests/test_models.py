@@ -287,10 +287,14 @@ def test_weights_are_sent_once_per_block_and_term(spark, monkeypatch):
 
 
 def test_topic_model_keeps_its_vocabulary_in_a_table(spark, tmp_path):
-    from textmill.operators.topics import topic_totals
+    from textmill.operators.topics import start_near_one, topic_totals
     df = spark.createDataFrame([(1, ["apple", "pear", "plum"]), (2, ["car", "bus", "tram"]), (3, []), (4, None)] * 6, "id int, terms array<string>")
     model = M.train_topics(df, 2, terms="terms")
-    assert model.stages[-1].topics.count() == 6 and np.isclose(topic_totals(model.stages[-1].topics, 2).sum(), 36 + 6)
+    # Each step keeps a part of the total and takes the rest from the rows: 36 occurrences and priors of 1/2 for 12 weights.
+    total = topic_totals(start_near_one(model.stages[-1].vocab, 2, 42), 2).sum()
+    for t in range(1, 11):
+        total += (1024 + t) ** -0.51 * (36 + 6 - total)
+    assert model.stages[-1].topics.count() == 6 and np.isclose(topic_totals(model.stages[-1].topics, 2).sum(), total)
     mixed = model.transform(df)
     assert mixed.columns == ["id", "terms", "topicDistribution"] and mixed.count() == 24
     for r in mixed.collect():
@@ -302,3 +306,7 @@ def test_topic_model_keeps_its_vocabulary_in_a_table(spark, tmp_path):
     assert all(np.allclose(r.topicDistribution.toArray(), rows[r.id]) for r in again.transform(df).collect())
     bounded = M.train_topics(df, 2, terms="terms", vocab=V.build_vocabulary(df, "terms", 4))
     assert bounded.stages[-1].topics.count() == 4
+    more = V.build_vocabulary(df, "terms", None).select("term", "idx").unionByName(spark.sql("SELECT 'none' term, 6L idx"))
+    assert M.train_topics(df, 2, terms="terms", vocab=more).stages[-1].topics.count() == 7
+    draws = np.array([r.weights for r in start_near_one(spark.range(2000).selectExpr("id idx", "string(id) term"), 5, 1).collect()])
+    assert abs(draws.mean() - 1) < 0.01 and abs(draws.std() - 0.1) < 0.01
