@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from textmill.functions import text as X
@@ -177,6 +178,13 @@ def test_library_models_beat_the_majority(spark):
         assert right > max(floor, 0.9)
 
 
+def test_two_class_models_score_after_an_observed_query(spark):
+    df = features(spark)[0].coalesce(1).cache()
+    spark.range(3).observe(Observation(), F.count("*").alias("n")).count()
+    for model in (M.train_multinomial(df, max_iter=2), M.train_ovr(df, max_iter=2)):
+        assert M.predict(model, df).filter("prediction is not null").count() == df.count()
+
+
 def test_majority_ties_in_label_order(spark):
     df = spark.createDataFrame([("B",), ("A",), ("A",), ("B",)], "label string")
     assert M.train_majority(df) == "A"

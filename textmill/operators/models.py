@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, OneVsRest
+from pyspark.ml.classification import LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
@@ -20,7 +20,7 @@ from textmill.functions.text import bind, sigmoid
 from textmill.operators.corpus import KEY
 from textmill.operators.features import build_vocabulary, entries
 from textmill.operators.topics import CELLS, term_blocks, top_topic_words, topic_mixtures, train_topic_table
-from textmill.runtime import SMALL_ROWS, materialize, small_table
+from textmill.runtime import SMALL_ROWS, materialize, scratch_path, small_table
 from textmill.schemas import BIASES, LOSSES, WEIGHTS
 
 # Cells of a weight table that may be compiled into a projection; beyond it, scores are joined.
@@ -385,6 +385,12 @@ def _with_labels(classifier, features: str) -> Pipeline:
 
 def _finish(fitted: PipelineModel) -> PipelineModel:
     index, model = fitted.stages
+    if isinstance(model, OneVsRestModel) or model.numClasses == 2:
+        # The summary of a two-class model holds the session, which no task can be sent once any query of it
+        # was observed; a stored model has no summary.
+        path = scratch_path(SparkSession.active(), "model")
+        model.write().save(path)
+        model = type(model).load(path)
     return PipelineModel([model, IndexToString(inputCol="_p", outputCol="prediction", labels=index.labels)])
 
 
