@@ -113,6 +113,19 @@ def test_viterbi_takes_the_best_sum(spark):
     same([(r.unit, r.b) for r in got], [("abcd", [0, 1, 4]), ("ax", [0, 1, 2])])
 
 
+def test_merges_walk_each_unit_once(spark):
+    from sentencepiece import SentencePieceProcessor
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    reader, model = SentencePieceProcessor(model_file=path), pieces.Model(path)
+    words = ["a", "the", "internationalization", *[("nationthering" * 9)[:n] for n in range(57, 64)],
+             *["e" * n for n in (2, 3, 58, 59, 60, 61)]]
+    units = spark.createDataFrame([(pieces.MARK + w, 1) for w in words], "unit string, n long")
+    found = pieces.unit_ids(units, model)
+    same([(r.unit, list(r.ids)) for r in found.collect()], [(pieces.MARK + w, reader.encode(w)) for w in words])
+    # The best edge is sought once a step: the test of an edge stands once in the plan.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("bit_count(") == 1
+
+
 # 4 quality rules
 
 def rules_by_brute_force(texts):
