@@ -145,6 +145,20 @@ def test_suffix_dedup(spark, docs, texts, options):
     same(got, cut_by_brute_force(short + periodic, 40))
 
 
+def test_suffix_dedup_leaves_texts_in_place(spark, docs, capsys):
+    """Codes and marks are sent to the texts; the texts themselves are not shuffled."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = suffixdedup.suffix_dedup(docs)
+        got.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("Exchange hashpartitioning(block") == 1 and "Bucketed: true" in plan
+        assert got.count() == docs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_suffix_dedup_keeps_columns(docs, no_docs):
     got = suffixdedup.suffix_dedup(docs, keep=["id", "row", "size", "text"])
     assert got.columns == ["id", "row", "size", "text", "n_bytes", "n_removed", "spans", "kept"]

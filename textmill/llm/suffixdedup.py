@@ -4,7 +4,8 @@ A passage is a window of `WINDOW` bytes inside one document. The suffixes of the
 depth, equal ones become neighbours, and all but the earliest are marked. To sort
 suffixes in many tasks, and only those that can have a twin:
 
-1. Documents are stored in compressed blocks. A window's *anchor* is the least hash of its 16-byte
+1. Documents are stored in compressed blocks, bucketed by block: codes and marks come to the texts, which are never
+   shuffled. A window's *anchor* is the least hash of its 16-byte
    strings (the leftmost, if equal), so equal windows have equal anchors, at the same
    place. About one byte in forty is an anchor; the windows of an anchor are consecutive.
 2. Anchors are counted over the corpus, once per distinct surrounding and block. An anchor met once
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.llm.common import in_batches
-from textmill.runtime import materialize
+from textmill.runtime import materialize, materialize_bucketed
 
 WINDOW = 100
 GRAM = 16
@@ -229,8 +230,10 @@ def write_blocks(docs: DataFrame, doc_id: str, text: str, keep: list[str], block
 
     rows = docs.select(*keep, F.col(doc_id).cast("bigint").alias("_id"),
                        F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_text"))
-    return materialize(in_batches(
-        rows, work, "block long, n_bytes long, ids array<long>, ends binary, text binary, rows binary"), "blocks")
+    # As many as shuffles make, so that what is aggregated by block comes to the texts as it is.
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize_bucketed(in_batches(
+        rows, work, "block long, n_bytes long, ids array<long>, ends binary, text binary, rows binary"), "blocks", "block", buckets)
 
 
 def _open(text: bytes, ends: bytes) -> tuple[bytes, np.ndarray]:
