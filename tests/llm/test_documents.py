@@ -297,6 +297,31 @@ def test_hash_helpers_agree():
     assert hashlib.sha256(a.tobytes()).digest() != hashlib.sha256(jaccard.shingles("a b c d e").tobytes()).digest()
 
 
+def test_jaccard_searches_equal_buckets_once(spark, monkeypatch):
+    """Three classes that share twenty routing shingles are one bucket of three rows, not twenty."""
+    sets = {c: jaccard.shingles(" ".join(f"w{k}" for k in range(80)) + f" end{c}") for c in (1, 2, 3)}
+    routed = spark.createDataFrame([(t, c, len(s), t + c, False) for c, s in sets.items() for t in range(20)],
+                                   "token long, cls long, size int, place int, hot boolean")
+    sketches = spark.createDataFrame([(c, jaccard.bitmap(s)) for c, s in sets.items()], "cls long, sig binary")
+    none = spark.createDataFrame([], "node long, component long")
+    sent, run = [], jaccard.in_batches
+    monkeypatch.setattr(jaccard, "in_batches", lambda df, *rest: sent.append(df) or run(df, *rest))
+    got = jaccard.tree_candidates(routed, sketches, none).collect()
+    assert sorted(map(tuple, got)) == [(1, 2), (1, 3), (2, 3)]
+    assert [(r.cls, r.place) for r in sent[0].orderBy("cls").collect()] == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_jaccard_reads_postings_once(docs, monkeypatch, capsys):
+    """One pass over the texts serves frequent and other shingles; copies are dropped without a second shuffle."""
+    stored, store = {}, jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: stored.setdefault(name, df) and store(df, name))
+    jaccard.near_duplicates(docs)
+    capsys.readouterr()
+    stored["routed"].explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_most_frequent(spark):
     from textmill.llm.common import most_frequent
     table = spark.range(1, 1001).withColumnRenamed("id", "n")
