@@ -54,3 +54,24 @@ def test_a_filter_on_labels_does_not_find_them_twice(spark):
     kept = C.exclude_label(label_corpus(df, {"apache": "A", "mit license": "M"}).select(*KEY, "label"))
     assert sorted(map(tuple, kept.collect())) == [(1, 0, "M"), (2, 0, "A")]
     assert plan(kept).count("concat_ws") == 1
+
+
+def test_files_of_topic_blocks_hold_few_blocks(spark, monkeypatch):
+    from textmill.operators import features as V
+    from textmill.operators import topics as T
+    monkeypatch.setattr(T, "BLOCK_CELLS", 20)
+    fitted = []
+    fit = T.fit_rows
+    monkeypatch.setattr(T, "FIT_CELLS", 8)
+    df = spark.createDataFrame([([f"w{i % 7}", f"x{i % 50}"],) for i in range(400)], "terms array<string>").coalesce(1)
+    packed = T.term_blocks(df, V.build_vocabulary(df, "terms", None))
+    files = packed.blocks.groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == 40 and max(r["count"] for r in files) <= 4
+    # What cells owe is added up batch by batch.
+    monkeypatch.setattr(T, "fit_rows", lambda n, *a: fitted.append(len(n)) or fit(n, *a))
+    one = packed.blocks.limit(1).toArrow()
+    sent = packed.links.where(F.col("block") == one.column("block")[0].as_py()).select(
+        "pos", "idx", F.array(F.col("idx") + 1.0, F.lit(2.0)).alias("weights")).toArrow()
+    added = T._Sums()
+    T._fit_block(one, sent, 2, 0.5, 100, 1e-3, added.add)
+    assert max(fitted) <= 8 and sum(fitted) == 20 and abs(added.sums.sum() - 20) < 1e-9
